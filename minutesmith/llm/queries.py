@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import sentences
+from minutesmith.llm import canonical, sentences
 from minutesmith.runtime import table
 
 
+def _typed(spark: SparkSession, root: str) -> DataFrame:
+    """(field, record_id, value) of the freely typed values; redelivered rows once."""
+    committees = table(spark, root, "meetings").select(F.lit("committee").alias("field"), F.col("meeting_id").alias("record_id"), F.col("committee").alias("value"))
+    roles = table(spark, root, "speaker_index").select(F.lit("role").alias("field"), F.col("entry_id").alias("record_id"), F.col("role").alias("value"))
+    return committees.unionByName(roles).where("value is not null").distinct()
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    typed, reference = _typed(spark, root), table(spark, root, "canon_values")
+    mapped = canonical.map_values(typed, reference, "field", "value", "canon_id", "name")
+    other = typed.join(reference.select("field", F.col("name").alias("value")), ["field", "value"], "left_anti")
+    return other.join(mapped, ["field", "value"]).select("field", "record_id", "canon_id").distinct()
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     targets = table(spark, root, "sentence_targets").select("speech_id").where("speech_id is not null")
     wanted = table(spark, root, "speeches").select("speech_id", "text").join(targets, "speech_id", "left_semi")
@@ -19,7 +33,7 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found}
+    return {"p1_found": p1_found, "p3_found": p3_found}
 
 
 def oracle_sql() -> dict[str, str]:
