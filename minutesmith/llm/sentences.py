@@ -65,12 +65,12 @@ def pieces(masked: Column) -> Column:
     # A full stop ends a sentence at once, a question or exclamation mark unless the text quotes it; a run is never cut.
     full = rf"[。｡．।॥۔！？!?؟]*[。｡．।॥۔][。｡．।॥۔！？!?؟]*+(?:\n[。！？]++)*+(?:{CLOSERS}++(?!{GOES_ON}))?+(?!{CLOSERS})"
     asked = rf"[！？!?؟]++(?:\n[。！？]++)*+(?:(?!{CLOSERS}|{QUOTED}|{ENDS}|\\s+[a-zà-öø-ÿ])|{CLOSERS}++(?!{GOES_ON}))"
-    latin = rf"(?<=[\p{{L}}\p{{M}}\p{{N}}%％°)\]{CLOSE}{STOP}])\.+{CLOSERS}*(?=\s+[^\sa-zà-öø-ÿ]|\s*$)"
-    local = r"(?<=[\p{IsHangul}\p{IsHiragana}\p{IsKatakana}\p{IsHan}\p{IsDevanagari}])\." + rf"{CLOSERS}*(?!\S{{0,3}}\.)(?!{GOES_ON})"
+    latin = rf"(?=\.)(?<=[\p{{L}}\p{{M}}\p{{N}}%％°)\]{CLOSE}{STOP}])\.+{CLOSERS}*(?=\s+[^\sa-zà-öø-ÿ]|\s*$)"
+    local = r"(?=\.)(?<=[\p{IsHangul}\p{IsHiragana}\p{IsKatakana}\p{IsHan}\p{IsDevanagari}])\." + rf"{CLOSERS}*(?!\S{{0,3}}\.)(?!{GOES_ON})"
     held = rf"{ENDMARK}+{CLOSERS}+(?!{GOES_ON})(?![\s]*$)"
-    item = rf"(?<=(?:^|[\n。．！？])[ 　]{{0,3}}{MARKER}[^\n。．！？]{{1,200}})(?=\n)"
-    before = rf"(?<=[^\n])(?=\n[ 　]{{0,3}}{MARKER})"
-    polite = rf"(?<={POLITE})(?=[ 　\n]+[^ 　\n])(?![ 　\n]*{JOINED})"
+    item = rf"(?=\n)(?<=(?:^|[\n。．！？])[ 　]{{0,3}}{MARKER}[^\n。．！？]{{1,200}})"
+    before = rf"(?=\n)(?<=[^\n])(?=\n[ 　]{{0,3}}{MARKER})"
+    polite = rf"(?=[ 　\n])(?<={POLITE})(?=[ 　\n]+[^ 　\n])(?![ 　\n]*{JOINED})"
     rule = "|".join([f"{full}|{asked}", held, latin, local, item, before, polite])
     return F.split(F.regexp_replace(masked, f"(?s)(?:{rule})", f"$0{CUT}"), CUT)
 
