@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import canonical, sentences
+from minutesmith.llm import canonical, encoding, sentences
 from minutesmith.runtime import table
 
 
@@ -32,8 +32,15 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return sentences.sentences(once, "speech_id", "text").select("speech_id", "end_char")
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    texts = table(spark, root, "speeches").select(F.lit("text").alias("field"), F.col("speech_id").alias("record_id"), F.col("text").alias("value"))
+    titles = table(spark, root, "meetings").select(F.lit("title").alias("field"), F.col("meeting_id").alias("record_id"), F.col("title").alias("value"))
+    checked = texts.unionByName(titles).where("value is not null").withColumn("c", encoding.check_encoding(F.col("value")))
+    return checked.where("c.damaged").select("field", "record_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p3_found": p3_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
