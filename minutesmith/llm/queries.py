@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import canonical, encoding, sentences
+from minutesmith.llm import canonical, encoding, lookalikes, sentences
 from minutesmith.runtime import table
 
 
@@ -32,6 +33,23 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return sentences.sentences(once, "speech_id", "text").select("speech_id", "end_char")
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    speeches = table(spark, root, "speeches")
+    values = (
+        speeches.select(F.lit("text").alias("field"), F.col("speech_id").alias("record_id"), F.col("text").alias("value"))
+        .unionByName(speeches.select(F.lit("speaker").alias("field"), F.col("speech_id").alias("record_id"), F.col("speaker").alias("value")))
+        .unionByName(table(spark, root, "meetings").select(F.lit("session").alias("field"), F.col("meeting_id").alias("record_id"), F.col("session").alias("value")))
+    )
+
+    def case(v: pd.Series) -> pd.Series:
+        texts = v.tolist()
+        damaged = encoding.examine(texts)
+        return pd.Series([lookalikes.usual(t) != t and not d for t, (d, _) in zip(texts, damaged, strict=True)], dtype=bool)
+
+    suspicious = values.where(F.col("value").rlike(lookalikes.SUSPECT))
+    return suspicious.where(F.pandas_udf(case, "boolean")("value")).select("field", "record_id").distinct()
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     texts = table(spark, root, "speeches").select(F.lit("text").alias("field"), F.col("speech_id").alias("record_id"), F.col("text").alias("value"))
     titles = table(spark, root, "meetings").select(F.lit("title").alias("field"), F.col("meeting_id").alias("record_id"), F.col("title").alias("value"))
@@ -40,7 +58,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p3_found": p3_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
