@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import canonical, encoding, lookalikes, sentences
+from minutesmith.llm import canonical, encoding, lookalikes, sentences, turns
 from minutesmith.runtime import table
 
 
@@ -50,6 +50,13 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return suspicious.where(F.pandas_udf(case, "boolean")("value")).select("field", "record_id").distinct()
 
 
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    raw = table(spark, root, "raw_transcripts").select("raw_id", "attendees", "body")
+    # Parsing costs far more than moving the rows, and a few files would mean a few tasks.
+    spread = raw.repartition(spark.sparkContext.defaultParallelism * 4, "raw_id")
+    return turns.speaker_turns(spread).select("raw_id", "turn_no", "speaker")
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     texts = table(spark, root, "speeches").select(F.lit("text").alias("field"), F.col("speech_id").alias("record_id"), F.col("text").alias("value"))
     titles = table(spark, root, "meetings").select(F.lit("title").alias("field"), F.col("meeting_id").alias("record_id"), F.col("title").alias("value"))
@@ -58,7 +65,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
