@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import canonical, encoding, lookalikes, sentences, turns
+from minutesmith.llm import canonical, encoding, lookalikes, nearcopies, sentences, turns
 from minutesmith.runtime import table
 
 
@@ -26,6 +26,14 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return other.join(mapped, ["field", "value"]).select("field", "record_id", "canon_id").distinct()
 
 
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    # A redelivered meeting repeats its rows under the same id, so ids in meetings need no list of their own here.
+    speeches = table(spark, root, "speeches").select("meeting_id", "speech_id", "speech_order", "text")
+    known = table(spark, root, "meetings").select("meeting_id").distinct()
+    docs = nearcopies.assemble(speeches, "meeting_id", "speech_id", "speech_order", "text").join(known.withColumnRenamed("meeting_id", "doc"), "doc", "left_semi")
+    return nearcopies.similar_pairs(docs).select(F.col("a").alias("meeting_a"), F.col("b").alias("meeting_b"))
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     targets = table(spark, root, "sentence_targets").select("speech_id").where("speech_id is not null")
     wanted = table(spark, root, "speeches").select("speech_id", "text").join(targets, "speech_id", "left_semi")
@@ -65,7 +73,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
