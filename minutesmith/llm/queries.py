@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import canonical, encoding, lookalikes, nearcopies, sentences, turns
+from minutesmith.llm import abuse, canonical, encoding, lookalikes, nearcopies, sentences, turns
 from minutesmith.runtime import table
 
 
@@ -72,8 +72,21 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return checked.where("c.damaged").select("field", "record_id").distinct()
 
 
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    texts = table(spark, root, "documents").select("doc_id", "text").where("text <> ''")
+    return texts.where(abuse.scored(F.col("text"))["score"] >= abuse.FLAG).select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, root: str) -> DataFrame:
+    return abuse.rates(table(spark, root, "documents"), "source", "text")
+
+
+def p10_scores(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "documents").select("doc_id", "source", abuse.scored(F.col("text")).alias("r")).select("doc_id", "source", "r.score", "r.category", "r.sentence")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
 
 
 def oracle_sql() -> dict[str, str]:
