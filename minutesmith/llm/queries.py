@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import abuse, canonical, encoding, lookalikes, nearcopies, sentences, turns
+from minutesmith.llm import abuse, canonical, encoding, lookalikes, mixing, nearcopies, packing, sentences, tokens, turns
 from minutesmith.runtime import table
 
 
@@ -72,6 +72,30 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return checked.where("c.damaged").select("field", "record_id").distinct()
 
 
+def _sized(spark: SparkSession, root: str) -> DataFrame:
+    """(doc_id, source, tokens) of every document; counted once and kept, for it is used several times."""
+    docs = table(spark, root, "documents").select("doc_id", "source", "text")
+    return nearcopies.keep(docs.select("doc_id", "source", tokens.count_tokens(F.col("text")).alias("tokens")), "sizes")
+
+
+def p8_packed(spark: SparkSession, root: str) -> DataFrame:
+    packed = packing.pack_items(_sized(spark, root), "doc_id", "tokens", table(spark, root, "pack_capacities"))
+    return packed.withColumnRenamed("item", "doc_id")
+
+
+def p8_report(spark: SparkSession, root: str) -> DataFrame:
+    return packing.report(packing.pack_items(_sized(spark, root), "doc_id", "tokens", table(spark, root, "pack_capacities")))
+
+
+def p9_mixed(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(_sized(spark, root), table(spark, root, "mix_targets"))
+
+
+def p9_report(spark: SparkSession, root: str) -> DataFrame:
+    targets = table(spark, root, "mix_targets")
+    return mixing.report(mixing.mix(_sized(spark, root), targets), targets)
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
     texts = table(spark, root, "documents").select("doc_id", "text").where("text <> ''")
     return texts.where(abuse.scored(F.col("text"))["score"] >= abuse.FLAG).select("doc_id").distinct()
@@ -86,7 +110,7 @@ def p10_scores(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
 
 
 def oracle_sql() -> dict[str, str]:
