@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import abuse, canonical, encoding, lookalikes, mixing, nearcopies, packing, sentences, tokens, turns
+from minutesmith.llm import abuse, canonical, encoding, lookalikes, mixing, names, nearcopies, packing, sentences, tokens, turns
 from minutesmith.runtime import table
 
 
@@ -41,6 +41,11 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return sentences.sentences(once, "speech_id", "text").select("speech_id", "end_char")
 
 
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    linked = names.link(table(spark, root, "speaker_index"), "entry_id", "council_id", "speaker", "kana", "role")
+    return names.pairs(linked, "entry_id")
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     speeches = table(spark, root, "speeches")
     values = (
@@ -110,7 +115,7 @@ def p10_scores(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
 
 
 def oracle_sql() -> dict[str, str]:
