@@ -80,4 +80,4 @@ def split_speeches(text: Column, marker: str, summary: str | None = None) -> Col
 def split_blocks(text: Column, start: str = r"(?m)^([0-9]+)[:：]") -> Column:
     """array<struct<number, body>> of the numbered blocks of a text."""
     marked = F.regexp_replace(F.translate(text, RECORD + FIELD, "  "), to_java(start), f"{RECORD}$1{FIELD}")
-    return F.transform(F.slice(F.split(marked, RECORD), 2, 1_000_000_000), lambda s: F.struct(F.substring_index(s, FIELD, 1).try_cast("int").alias("number"), F.trim(F.substring_index(s, FIELD, -1)).alias("body")))
+    return F.transform(F.slice(F.split(marked, RECORD), 2, 1_000_000_000), lambda s: F.struct(F.substring_index(s, FIELD, 1).try_cast("int").alias("number"), F.regexp_replace(F.substring_index(s, FIELD, -1), r"(?U)^\s+|\s+$", "").alias("body")))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from minutesmith.plans.queries import ALL, Query
+from minutesmith.plans.sql import SQL
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {q.__name__: q for q in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
