@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from minutesmith.functions import dates, patterns, policy, text
-from minutesmith.operators import audit, corpus, sequences, titles, walk
+from minutesmith.operators import audit, corpus, documents, sequences, titles, walk
 from minutesmith.runtime import checkpoint_dir, table
 from minutesmith.streaming import incremental
 
@@ -394,10 +394,43 @@ def order_revenue(s: SparkSession, d: str) -> DataFrame:
     return joined.groupBy("c_mktsegment", F.year("o_orderdate").cast("bigint").alias("year")).agg(F.count("*").alias("orders"), F.round(F.sum("r"), 2).alias("revenue"))
 
 
+def listed_kinds(s: SparkSession, d: str) -> DataFrame:
+    own = table(s, d, "listing").where("title is not null").select(documents.listed_kind(F.col("title")).alias("kind"), documents.is_sitting(F.col("title")).alias("sitting"))
+    return own.groupBy("kind", "sitting").agg(F.count("*").alias("n"))
+
+
+def sessions_of_titles(s: SparkSession, d: str) -> DataFrame:
+    m = _meetings(s, d).where("title is not null")
+    return m.select("meeting_id", documents.split_session(F.col("title")).alias("session"), documents.committee_of(F.col("title")).alias("committee"))
+
+
+def transcript_sections(s: SparkSession, d: str) -> DataFrame:
+    """Transcripts with circles as markers, their sections and counts."""
+    r = table(s, d, "raw_transcripts").select("raw_id", documents.split_sections(F.col("body"), "^[○◯〇◎●](?P<speaker>[^　（(]+)(?:[　（(]\\s*(?P<role>[^）)　]*)[）)]?)?").alias("x"))
+    return r.select("raw_id", F.size("x.speeches").alias("speeches"), "x.silent", "x.cut", "x.resumed", "x.unattributed", "x.rules")
+
+
+def rosters(s: SparkSession, d: str) -> DataFrame:
+    listed = F.regexp_replace(F.regexp_replace("attendees", "[A-Z]＝", ""), "[;；、／\n]+ *", "\n")
+    columns = F.regexp_replace(listed, "[:　 ]+", "　　")
+    return table(s, d, "raw_transcripts").select("raw_id", documents.read_roster(columns).alias("r")).select("raw_id", F.array_join("r.names", "|").alias("names"), F.array_join("r.offices", "|").alias("offices"))
+
+
+def indented_speeches(s: SparkSession, d: str) -> DataFrame:
+    found = table(s, d, "raw_transcripts").select("raw_id", F.inline(documents.indented(F.col("body"))))
+    return found.groupBy("raw_id").agg(F.count("*").alias("speeches"), F.sum(F.length("text")).alias("characters"))
+
+
+def unwrapped_documents(s: SparkSession, d: str) -> DataFrame:
+    own = table(s, d, "documents").select("doc_id", "text", documents.unwrap(F.col("text")).alias("joined"))
+    return own.select("doc_id", (F.length("text") - F.length("joined")).cast("bigint").alias("breaks_removed"))
+
+
 ALL: tuple[Query, ...] = (
     corpus_stats, latest_speeches, build_meetings, flatten_outer, kind_rollup, record_keys, routed_counts, csv_export, dated_range, wanted_links, resume_anti, audit_missing, audit_by_site, presence_counts,
     prefix_route, listing_lookup, edition_preference, speaker_diff, page_concat, speaker_counts, role_counts, top_roles, grouped_names, pooled_offices, stated_counts, gap_check, order_breaks, reparse_diff,
     line_width_mode, first_per_group, repeated_deliveries, fill_forward, ordered_sample, rotating_sample, ordered_unique, speech_turns, marker_spans, numbered_blocks, limited, councils_latest, set_ops,
     dedupe_text, session_dates, file_dates, session_months, plain_speakers, name_collisions, swallowed_markers, odd_speakers, office_suffixes, committee_lengths, quality_counts, duplicate_urls, url_shapes,
-    url_hosts, slugs, title_split, fetch_window, throttle, retries, hourly_events, event_sessions, incremental_append, url_walk, list_pages, packed_requests, order_revenue,
+    url_hosts, slugs, title_split, fetch_window, throttle, retries, hourly_events, event_sessions, incremental_append, url_walk, list_pages, packed_requests, order_revenue, listed_kinds, sessions_of_titles,
+    transcript_sections, rosters, indented_speeches, unwrapped_documents,
 )

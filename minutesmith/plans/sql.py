@@ -107,6 +107,8 @@ SQL: dict[str, str] = {
     "list_pages": "SELECT site, unnest(range(2, CAST(ceil(n / 10.0) AS BIGINT) + 1)) AS page FROM (SELECT site, count(*) AS n FROM listing GROUP BY 1)",
     "url_walk": f"""WITH RECURSIVE {ONCE}, c AS (SELECT DISTINCT council_id, meeting_date FROM m WHERE meeting_date IS NOT NULL), l AS (SELECT DISTINCT a.council_id AS x, b.council_id AS y FROM c a JOIN c b USING (meeting_date)),
         w AS (SELECT CAST(1 AS BIGINT) AS u, 0 AS d UNION SELECT y, d + 1 FROM w JOIN l ON x = u WHERE d < 3) SELECT CAST(u AS VARCHAR) AS url, CAST(min(d) AS BIGINT) AS depth FROM w GROUP BY 1""",
+    "listed_kinds": """SELECT CASE WHEN regexp_matches(title, '会議録|確定版|速報版|議事録') THEN 'minute' WHEN regexp_matches(title, '視察|調査') THEN 'visit' ELSE 'other' END AS kind,
+        regexp_matches(title, '^[\\s　]*[0-9０-９]{1,2}月[\\s　]*[0-9０-９]{1,2}日.*号[\\s　]*$') AS sitting, count(*) AS n FROM listing WHERE title IS NOT NULL GROUP BY 1, 2""",
     "order_revenue": """SELECT c_mktsegment, year(o_orderdate) AS year, count(*) AS orders, round(sum(r), 2) AS revenue FROM (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS r FROM lineitem GROUP BY 1)
         JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
 }

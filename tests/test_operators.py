@@ -153,3 +153,36 @@ def test_api_rows(spark):
 def test_gaps_and_breaks(spark):
     rows = spark.createDataFrame([(1, 0), (1, 1), (1, 3), (2, 0), (2, 0)], "g int, n int")
     assert {r["g"]: (r["missing"], r["repeated"]) for r in audit.gaps(rows, "g", "n").collect()} == {1: (1, 0), 2: (0, 1)}
+
+
+def test_sections():
+    import re
+
+    from minutesmith.operators import documents
+
+    marker = re.compile(r"^[○◯](?P<role>[^（]*)（(?P<speaker>[^）]+?)君）")
+    text = "表紙\n○議長（甲君）　議席は表のとおりです。\n─────\n〔参照〕\n表\n─────\n次に移ります。\n─────\n午前10時00分休憩\n─────\n黙祷を行います。\n○部長（乙君）\n○議員（丙君）はい。"
+    speeches, counts = documents.sections(text, marker)
+    assert speeches == [("甲", "議長", "議席は表のとおりです。\n次に移ります。"), ("", None, "黙祷を行います。"), ("丙", "議員", "はい。")]
+    assert counts == {"silent": 1, "cut": 5, "resumed": 1, "unattributed": 1, "rules": 4}
+
+
+def test_rosters_and_wraps():
+    from minutesmith.operators import documents
+
+    names, offices = documents.roster("議長　　　甲田　一君\n副議長　　乙山三\n〃　　　　丙川四君\n丁野五\n1234")
+    assert names == ["丁野五", "丙川四", "乙山三", "甲田一"] and offices[0] == "副議長" and "議長" in offices
+    assert documents.unwrapped("        これは途中\n        で折れる。\n        次の行。") == "これは途中で折れる。\n次の行。"
+    long = "あ" * 60
+    assert documents.unwrapped("\n".join([long] * 60 + ["終わり。"])).count("\n") == 0
+    assert documents.indented_record("田中委員\n　質問です。\n　続きます。\n3 議題\n　内容\n説明。\n　x") == [("田中委員", "質問です。\n続きます。\n内容\nx")]
+
+
+def test_headers(spark):
+    from minutesmith.operators import documents
+
+    df = spark.createDataFrame([("令和7年定例会（第2号）　本文 : 2025-06-10\n---",), ("x",)], "t string")
+    first, second = [r["h"] for r in df.select(documents.download_header(F.col("t")).alias("h")).collect()]
+    assert (first["heading"], first["number"], first["kind"], first["date"]) == ("令和7年定例会", 2, "本文", dt.date(2025, 6, 10)) and second["kind"] is None
+    url = spark.createDataFrame([("https://a.x/b/c?x=1", "../d#e")], "b string, h string").select(documents.absolute_url(F.col("b"), F.col("h"))).first()[0]
+    assert url == "https://a.x/d"
