@@ -40,7 +40,7 @@ def pack(sizes: list[int], capacity: int) -> list[list[tuple[int, int]]]:
             # Moving a container from level h to h + size changes the sum of squares by 2 (N[h + size] - N[h]) + 2,
             # less where h + size is full; a new one by 2 N[size] + 1.
             levels = np.flatnonzero(counts[1 : capacity - size + 1]) + 1
-            after = np.where(levels + size == capacity, -1, 2 * counts[np.minimum(levels + size, capacity)] + 1)
+            after = np.where(levels + size == capacity, 0, 2 * counts[np.minimum(levels + size, capacity)] + 1)
             change = after - 2 * counts[levels] + 1
             fresh = 2 * counts[size] + 1 if size < capacity else 0
             if len(levels) and change.min() <= fresh:
