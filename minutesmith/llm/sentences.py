@@ -34,10 +34,10 @@ ENDS = r"[。｡．！？!?।॥؟۔…‥]"
 CLOSERS = rf"[」』）)”’»】〉》〕\]{CLOSE}]"
 #: What goes on after a closing quotation, and after a question or exclamation that is only quoted.
 PARTICLES = r"(?:[、，,;；:：・]|と(?!ころ|りわけ|もに)|を|に(?!ぎ|わ)|は(?!い|じ|や)|が(?!ん)|の(?!び|ち|ぞ)|で(?!す)|も(?!っと|し|う|ち)|や(?!は|む)|など|って|か(?!ね|つ|く|な)|라|고|이라|하는|这句|的|[\s]+(?:[a-zà-öø-ÿ]|और|कि|तो))"
-GOES_ON = rf"(?:{PARTICLES}|{ENDS})"
-QUOTED = r"(?:と(?!ころ|りわけ|もに)|って|、|，|라는|라고)"
+GOES_ON = rf"(?:{PARTICLES}|\n(?:と(?!ころ|りわけ|もに)|、|，|を)|{ENDS})"
+QUOTED = r"(?:\n?(?:と(?!ころ|りわけ|もに)|って|、|，)|라는|라고)"
 #: What goes on after a polite ending in spite of a line break.
-JOINED = r"(?:[、。，．！？」』）]|が(?!ん)|ので|のに|と(?!ころ|りわけ|もに)|から|けれ|けど|し[、，]|か[。．？！\s]|ね[。．]|よ[。．う]|もの[の、])"
+JOINED = rf"(?:[、。，．！？」』）{ENDMARK}]|が(?!ん)|ので|のに|と(?!ころ|りわけ|もに)|から|けれ|けど|し[、，]|か[。．？！\s]|ね[。．]|よ[。．う]|もの[の、])"
 #: Endings of polite Japanese sentences: there a line break or a wide space may end a sentence without an end mark.
 POLITE = r"(?:ます|です|ました|でした|ません|でしょう|ましょう|ください|下さい)(?:か|ね|よ)?"
 MARKER = r"(?:・|[(（][0-9０-９]{1,3}[)）]|[①-⑳]|[0-9０-９]{1,3}[)）]|[-*•◆■●○◎▼▽]|第[0-9０-９一二三四五六七八九十]{1,3}[　 、])"
