@@ -95,7 +95,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     put(0xFF01, 0xFF60, 0.1, NEUTRAL)
     put(0xFF61, 0xFF9F, 0.5, HALF)
     put(0xFFE0, 0xFFE6, 0.2, NEUTRAL)
-    put(0xFFFD, 0xFFFD, 3, OTHER)
+    put(0xFFFD, 0xFFFD, 4.5, OTHER)
     for lead in (*range(0x81, 0xA0), *range(0xE0, 0xFD)):
         for trail in range(0x40, 0xFD):
             try:

@@ -39,7 +39,7 @@ STROKES = "‐‑‒–—―−─ー一⼀"
 WEAK = set("ИЯνγηυρӏг")
 SUSPECT = (
     f"[{INVISIBLE}{SPACES}{FORMS}{MARKS}Ͱ-ԯԱ-ևᎠ-Ᏼɑɡ]"
-    "|[ァ-ヺー][一二三八口工力夕卜千又才へべぺり‐-―−─]|[一二三八口工力夕卜千又才へべぺり][ァ-ヺー]|[ぁ-ゖ][ヘベペリー][ぁ-ゖ]|[一-龥][ーニロエカタトハ][一-龥]"
+    "|[ァ-ヺー][一二三八口工力夕卜千又才へべぺり‐-―−─]|[一二三八口工力夕卜千又才へべぺり][一ー‐-―−─]?[ァ-ヺー]|[ぁ-ゖ][ヘベペリー][ぁ-ゖ]|[一-龥][ーニロエカタトハ][一-龥]"
 )
 
 _RANGES = (
@@ -65,8 +65,10 @@ _KATA = re.compile("[ァ-ヺー]")
 _HAN_TWIN = dict(zip(KATAKANA_HAN[1], KATAKANA_HAN[0], strict=True))
 _KATAKANA_OF = {**_HAN_TWIN, **dict.fromkeys(STROKES, "ー")}
 _BODIES = re.compile("法人|会社|組合|団体|財団|協会")
+#: Kanji after which 力 is the word for power.
+_POWER = set("労働火水電子能体学協圧動努主有戦気視聴浮引重磁出入権暴魅活迫握馬風地効助資筋財実武人弾潮速応自他全微無総国県術界像現解業組続定継造進")
 _SHAPES = "".join(_HAN_TWIN) + STROKES.replace("ー", "")
-_MIXED = re.compile(f"[{''.join(_HAN_TWIN)}]?[ァ-ヺー](?:[ァ-ヺー{_SHAPES}]*[{_SHAPES}][ァ-ヺー{_SHAPES}]*)|[{''.join(_HAN_TWIN)}][ァ-ヺー]+")
+_MIXED = re.compile(f"(?:[{''.join(_HAN_TWIN)}][{STROKES}]?)?[ァ-ヺー](?:[ァ-ヺー{_SHAPES}]*[{_SHAPES}][ァ-ヺー{_SHAPES}]*)|[{''.join(_HAN_TWIN)}][{STROKES}]?[ァ-ヺー]+")
 
 
 def script(ch: str) -> str:
@@ -110,14 +112,17 @@ def _east(value: str) -> str:
         first = next(i for i, ch in enumerate(w) if _KATA.match(ch))
         last = len(w) - 1 - next(i for i, ch in enumerate(reversed(w)) if _KATA.match(ch))
         head, body, tail = w[:first], w[first : last + 1], w[last + 1 :]
-        if head:  # kanji before katakana: a twin if the word before is complete
-            whole = len(body) > 1 and head[-1] in "力口夕卜工" and (script(before) in ("", "Hiragana") or _BODIES.search(value[max(0, m.start() - 2) : m.start()]))
+        if len(head) == 2 and head[1] in STROKES and head[0] in "口力夕卜工又才":  # no word begins with a stroke after such a kanji
+            head = "".join(_KATAKANA_OF.get(ch, ch) for ch in head)
+        elif len(head) == 1:  # kanji before katakana: a twin if the word before is complete
+            free = script(before) in ("", "Hiragana") or _BODIES.search(value[max(0, m.start() - 2) : m.start()]) or (head == "力" and before not in _POWER and script(before) == "Han")
+            whole = len(body) > 1 and head[-1] in "力口夕卜工" and free
             head = head[:-1] + _KATAKANA_OF[head[-1]] if whole else head
         body = "".join(_KATAKANA_OF.get(ch, ch) for ch in body)
         if tail:
             han = script(after) == "Han"
             sure = len(tail) > 1 and any(ch in STROKES or ch in "夕卜" for ch in tail) and len(set(tail)) > 1
-            single = len(tail) == 1 and (tail == "卜" or (tail in STROKES and tail != "一") or (tail in "夕一" and not han and (after or before) and tail + after != "一つ"))
+            single = len(tail) == 1 and (tail == "卜" or (tail == "力" and len(body) == 2 and not head and script(before) != "Katakana" and script(after) in ("Han", "") and after not in set("士学量作説点走強持戦")) or (tail in STROKES and tail != "一") or (tail in "夕一" and not han and (after or before) and tail + after != "一つ"))
             if sure or single:
                 tail = "".join(_KATAKANA_OF.get(ch, ch) for ch in tail)
         return head + body + tail
