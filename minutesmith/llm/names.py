@@ -34,7 +34,7 @@ FORMS = "株式会社|有限会社|合同会社|合資会社|一般社団法人|
 SHORT = (("漁協", "漁業協同組合"), ("農協", "農業協同組合"), ("森組", "森林組合"), ("総研", "総合研究所"), ("商議所", "商工会議所"), ("観連", "観光連盟"), ("建協", "建設協会"))
 KINDS = "組合|協会|連盟|会議所|研究所|福祉会|医師会|交通|電設|水産加工|加工|建設|工業|商事|商会|銀行|大学|病院|学校|センター|クラブ|協議会|連合会|財団|法人|会社|協$|会$|所$|団$"
 #: Last characters of given names that are read alike and mistaken for each other in typing. Fixed values.
-SOUNDS = ("乃野之", "斗人都登", "美実見未", "也哉弥矢", "太多汰", "郎朗浪", "央夫雄男生", "香花佳加華", "馬真麻磨", "穂帆歩", "希樹季貴輝", "江恵絵枝", "助介輔", "里理利莉", "奈那菜", "子己")
+SOUNDS = ("乃野之", "斗都登", "人仁", "美実未", "也哉弥矢", "太多汰", "郎朗浪", "央夫雄男", "香花佳加華", "馬真麻磨", "穂帆歩", "希紀樹季貴輝", "江恵絵枝", "助介輔", "里理利莉", "奈那菜", "子己", "彦比")
 HONORIFICS = "さん|様|殿|氏|君|先生|議員|御中"
 _KANJI = "一-鿿㐀-䶿々〆ヶ"
 _FORM = re.compile(FORMS, re.I)
