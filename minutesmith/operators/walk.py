@@ -29,3 +29,40 @@ def reach(start: DataFrame, links: DataFrame, depth: int) -> DataFrame:
             break
         seen = seen.unionByName(level)
     return seen
+
+
+def accepted(links: DataFrame, label: str, url: str, include: str | None, exclude: str | None) -> DataFrame:
+    """Links that a rule wants, each address once with its last label; filtered before they are made distinct, so a rejected mention does not hide an accepted one."""
+    from minutesmith.functions.text import wanted
+
+    kept = links.where(wanted(F.col(label), F.col(url), include, exclude))
+    return kept.groupBy(url).agg(F.max_by(label, "position").alias(label), F.min("position").alias("position"))
+
+
+def levels(pages: DataFrame, links: DataFrame, rules: list[str], excluded: str | None = None) -> DataFrame:
+    """Pages reached by following, from pages (url), one link per rule whose label matches it: (url, path of labels)."""
+    level = pages.select("url", F.array().cast("array<string>").alias("path"))
+    for rule in rules:
+        own = links.where(F.col("label").rlike(rule) & (F.lit(True) if excluded is None else ~F.col("label").rlike(excluded)))
+        level = level.join(own.select(F.col("source").alias("url"), "target", "label"), "url").select(F.col("target").alias("url"), F.concat("path", F.array("label")).alias("path"))
+        level = level.groupBy("url").agg(F.min("path").alias("path"))
+    return level
+
+
+def signposts(pages: DataFrame, links: DataFrame, hints: str, host: str) -> DataFrame:
+    """Links within a host whose label or address hints at minutes, each address with its last label."""
+    from minutesmith.functions.text import url_host
+
+    own = links.join(pages.select(F.col("url").alias("source")), "source", "left_semi")
+    hinted = own.where((url_host(F.col("target")) == host) & (F.col("label").rlike(hints) | F.col("target").rlike(hints)))
+    return hinted.groupBy("target").agg(F.max_by("label", "position").alias("label"))
+
+
+def pages_differ(first: DataFrame, second: DataFrame, item: str) -> bool:
+    """Whether a second page of a list shows anything the first does not: else paging does not work."""
+    return second.select(item).exceptAll(first.select(item)).limit(1).count() > 0
+
+
+def missing_nodes(offered: DataFrame, wanted: DataFrame, node: str) -> DataFrame:
+    """Nodes (years, sessions) asked for that a site does not offer."""
+    return wanted.select(node).distinct().join(offered.select(node).distinct(), node, "left_anti")

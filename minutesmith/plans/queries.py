@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from minutesmith.functions import dates, patterns, policy, text
+from minutesmith.functions import dates, labels, patterns, policy, text
 from minutesmith.operators import audit, corpus, documents, sequences, titles, walk
 from minutesmith.runtime import checkpoint_dir, table
 from minutesmith.streaming import incremental
@@ -426,11 +426,47 @@ def unwrapped_documents(s: SparkSession, d: str) -> DataFrame:
     return own.select("doc_id", (F.length("text") - F.length("joined")).cast("bigint").alias("breaks_removed"))
 
 
+def labels_read(s: SparkSession, d: str) -> DataFrame:
+    """Labels written in every shape from the speeches, and read back."""
+    own = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥]{4}$") & F.col("role").rlike("^[一-龥]{2,8}$"))
+    shape = F.pmod("speech_id", F.lit(3))
+    line = F.when(shape == 0, F.concat(F.lit("○"), "role", F.lit("（"), "speaker", F.lit("君）　はい"))).when(shape == 1, F.concat(F.lit("◆"), "speaker", F.lit("議員　はい"))).otherwise(F.concat(F.lit("◎"), "speaker", F.lit("　"), "role", F.lit("　はい")))
+    return labels.with_label(own.select("speech_id", line.alias("line")), "line", "l").select("speech_id", "l.speaker", "l.role", F.regexp_replace("l.rest", "　", "").alias("rest"))
+
+
+def resolved_dates(s: SparkSession, d: str) -> DataFrame:
+    listed = corpus.latest(table(s, d, "listing").where("url is not null").select("url", "listed_at", "meeting_date"), "url", "listed_at").select("url", F.col("meeting_date").alias("listed"))
+    own = _meetings(s, d).join(listed, "url", "left").select(labels.resolved_date(F.col("listed"), F.col("meeting_date")).alias("r"))
+    return own.groupBy("r.source", "r.disagrees").agg(F.count("*").alias("n"))
+
+
+def echoes_removed(s: SparkSession, d: str) -> DataFrame:
+    title = F.concat(F.coalesce("role", F.lit("")), F.lit("（"), "speaker", F.lit("君）"))
+    body = F.concat(F.lit("<pre>◆"), title, F.lit("　"), "text", F.lit("</pre>"))
+    own = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥]+$") & F.coalesce(F.col("role"), F.lit("議員")).rlike("^[一-龥]+$") & F.col("text").rlike("^[一-龥「]") & ~F.col("text").rlike("\\s$"))
+    return own.select("speech_id", text.text_digest(labels.without_echo(body, title)).alias("digest"))
+
+
+def catalogue(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "sites").groupBy("scraper").agg(F.count("*").alias("sites"), F.count("start_url").alias("with_start"))
+
+
+def new_on_second_page(s: SparkSession, d: str) -> DataFrame:
+    listed = table(s, d, "listing").where("url is not null").select("site", "url").distinct()
+    met = table(s, d, "meetings").select("url").distinct()
+    return walk.missing_nodes(met.withColumnRenamed("url", "node"), listed.select(F.col("url").alias("node")), "node").select(F.col("node").alias("url"))
+
+
+def hinted_links(s: SparkSession, d: str) -> DataFrame:
+    listed = table(s, d, "listing").where("url is not null").select("url", F.coalesce("title", F.lit("")).alias("title"), F.unix_timestamp("listed_at").alias("position"))
+    return walk.accepted(listed, "title", "url", "委員会", "特別").select("url", "title")
+
+
 ALL: tuple[Query, ...] = (
     corpus_stats, latest_speeches, build_meetings, flatten_outer, kind_rollup, record_keys, routed_counts, csv_export, dated_range, wanted_links, resume_anti, audit_missing, audit_by_site, presence_counts,
     prefix_route, listing_lookup, edition_preference, speaker_diff, page_concat, speaker_counts, role_counts, top_roles, grouped_names, pooled_offices, stated_counts, gap_check, order_breaks, reparse_diff,
     line_width_mode, first_per_group, repeated_deliveries, fill_forward, ordered_sample, rotating_sample, ordered_unique, speech_turns, marker_spans, numbered_blocks, limited, councils_latest, set_ops,
     dedupe_text, session_dates, file_dates, session_months, plain_speakers, name_collisions, swallowed_markers, odd_speakers, office_suffixes, committee_lengths, quality_counts, duplicate_urls, url_shapes,
     url_hosts, slugs, title_split, fetch_window, throttle, retries, hourly_events, event_sessions, incremental_append, url_walk, list_pages, packed_requests, order_revenue, listed_kinds, sessions_of_titles,
-    transcript_sections, rosters, indented_speeches, unwrapped_documents,
+    transcript_sections, rosters, indented_speeches, unwrapped_documents, labels_read, resolved_dates, echoes_removed, catalogue, new_on_second_page, hinted_links,
 )

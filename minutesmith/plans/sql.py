@@ -107,6 +107,15 @@ SQL: dict[str, str] = {
     "list_pages": "SELECT site, unnest(range(2, CAST(ceil(n / 10.0) AS BIGINT) + 1)) AS page FROM (SELECT site, count(*) AS n FROM listing GROUP BY 1)",
     "url_walk": f"""WITH RECURSIVE {ONCE}, c AS (SELECT DISTINCT council_id, meeting_date FROM m WHERE meeting_date IS NOT NULL), l AS (SELECT DISTINCT a.council_id AS x, b.council_id AS y FROM c a JOIN c b USING (meeting_date)),
         w AS (SELECT CAST(1 AS BIGINT) AS u, 0 AS d UNION SELECT y, d + 1 FROM w JOIN l ON x = u WHERE d < 3) SELECT CAST(u AS VARCHAR) AS url, CAST(min(d) AS BIGINT) AS depth FROM w GROUP BY 1""",
+    "labels_read": f"""WITH {ONCE} SELECT speech_id, translate(speaker, '﨑嵜髙澤濱濵邉邊齋齊眞德廣榮藏龍惠圓學國瀧瀨栁淺萬與壽實兒顯讀讓禮曉黑奧臺攝擴爲隨對巖桒曾覺條團氣壯釋藪嶌嶋冨', '崎崎高沢浜浜辺辺斎斉真徳広栄蔵竜恵円学国滝瀬柳浅万与寿実児顕読譲礼暁黒奥台摂拡為随対巌桑曽覚条団気壮釈薮島島富') AS speaker, CASE WHEN speech_id % 3 = 1 THEN NULL ELSE role END AS role, 'はい' AS rest FROM sp
+        WHERE regexp_full_match(speaker, '[一-龥]{{4}}') AND regexp_full_match(role, '[一-龥]{{2,8}}')""",
+    "resolved_dates": f"""WITH {ONCE}, l AS (SELECT url, meeting_date AS d FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY listed_at DESC) AS k FROM listing WHERE url IS NOT NULL) WHERE k = 1)
+        SELECT CASE WHEN l.d IS NOT NULL THEN 'listing' WHEN m.meeting_date IS NOT NULL THEN 'printed' ELSE 'missing' END AS source, coalesce(l.d <> m.meeting_date, false) AS disagrees, count(*) AS n FROM m LEFT JOIN l ON m.url = l.url GROUP BY 1, 2""",
+    "echoes_removed": f"WITH {ONCE} SELECT speech_id, sha256(text) AS digest FROM sp WHERE regexp_full_match(speaker, '[一-龥]+') AND regexp_full_match(coalesce(role, '議員'), '[一-龥]+') AND regexp_matches(text, '^[一-龥「]') AND NOT regexp_matches(text, '\\s$')",
+    "catalogue": "SELECT scraper, count(*) AS sites, count(start_url) AS with_start FROM sites GROUP BY 1",
+    "new_on_second_page": "SELECT DISTINCT url FROM listing WHERE url IS NOT NULL AND url NOT IN (SELECT url FROM meetings WHERE url IS NOT NULL)",
+    "hinted_links": """SELECT url, arg_max(coalesce(title, ''), listed_at) AS title FROM listing WHERE url IS NOT NULL AND (regexp_matches(coalesce(title, ''), '委員会') OR regexp_matches(url, '委員会'))
+        AND NOT (regexp_matches(coalesce(title, ''), '特別') OR regexp_matches(url, '特別')) GROUP BY 1""",
     "listed_kinds": """SELECT CASE WHEN regexp_matches(title, '会議録|確定版|速報版|議事録') THEN 'minute' WHEN regexp_matches(title, '視察|調査') THEN 'visit' ELSE 'other' END AS kind,
         regexp_matches(title, '^[\\s　]*[0-9０-９]{1,2}月[\\s　]*[0-9０-９]{1,2}日.*号[\\s　]*$') AS sitting, count(*) AS n FROM listing WHERE title IS NOT NULL GROUP BY 1, 2""",
     "order_revenue": """SELECT c_mktsegment, year(o_orderdate) AS year, count(*) AS orders, round(sum(r), 2) AS revenue FROM (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS r FROM lineitem GROUP BY 1)

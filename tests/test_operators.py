@@ -186,3 +186,70 @@ def test_headers(spark):
     assert (first["heading"], first["number"], first["kind"], first["date"]) == ("令和7年定例会", 2, "本文", dt.date(2025, 6, 10)) and second["kind"] is None
     url = spark.createDataFrame([("https://a.x/b/c?x=1", "../d#e")], "b string, h string").select(documents.absolute_url(F.col("b"), F.col("h"))).first()[0]
     assert url == "https://a.x/d"
+
+
+@pytest.mark.parametrize(
+    ("line", "speaker", "role", "rest"),
+    [
+        ("○議長（甲江正人君）　開会します。", "甲江正人", "議長", "　開会します。"), ("◆11番（乙野瀬明子議員）", "乙野瀬明子", "11番", ""), ("◎２０番（総務企画常任委員長丙川治君）", "丙川治", "20番　総務企画常任委員長", ""),
+        ("◆（丁井廣明君）はい", "丁井広明", None, "はい"), ("◎戊田富郎君　はい", "戊田富郎", None, "　はい"), ("○己谷暢之　議長　はい", "己谷暢之", "議長", "　はい"), ("◎20番（庚片信悟議員［総務・企画常任委員長］）", "庚片信悟", "20番　総務・企画常任委員長", ""),
+        ("○県政経営委員会　辛崎信委員長　はい", "辛崎信", "県政経営委員会委員長", "　はい"), ("◎教育長（教育長壬山隆一　君）", "壬山隆一", "教育長", ""), ("○○○議会議長○○", "", None, "○○○議会議長○○"), ("ただの行", "", None, "ただの行"),
+    ],
+)
+def test_labels(spark, line, speaker, role, rest):
+    from minutesmith.functions import labels
+
+    found = labels.with_label(spark.createDataFrame([(line,)], "line string"), "line").first()["label"]
+    assert (found["speaker"], found["role"], found["rest"]) == (speaker, role, rest)
+
+
+def test_bodies(spark):
+    from minutesmith.functions import labels
+
+    one = lambda f, *v: spark.createDataFrame([v], ", ".join(f"c{i} string" for i in range(len(v)))).select(f(*(F.col(f"c{i}") for i in range(len(v))))).first()[0]
+    assert one(labels.speech_body, "はい。\n　─────\n 次。\n会議録署名議員\n議長") == "はい。\n次。"
+    assert tuple(one(labels.cut_at_rule, "はい。\n────\n資料")) == ("はい。", True)
+    assert one(labels.from_first_label, "午前10時開議\n○議長　はい") == "○議長　はい" and one(labels.from_first_label, "前\n─────\n○議長") == "前\n─────\n○議長"
+    assert one(labels.without_echo, "<pre>◆二番（甲君）　はい</pre>", "二番（甲君）") == "はい" and one(labels.without_echo, "別の文", "二番（甲君）") == "別の文"
+    assert [(r["id"], r["text"]) for r in one(labels.anchored_blocks, 'x<A NAME="HUID1">a<BR>b<script>1</script><A NAME="HUID2">c')] == [("HUID1", "a\nb"), ("HUID2", "c")]
+
+
+def test_plug_ins_isolate_failures(spark):
+    from minutesmith.sources import parsing
+
+    def parser(raw):
+        if raw == b"bad":
+            raise KeyError("no")
+        return [{"order": 0, "speaker": "a", "role": None, "text": raw.decode()}] if raw else []
+
+    parsing.register_parser("test", parser)
+    pages = spark.createDataFrame([("1", "test", bytearray(b"x")), ("2", "test", bytearray(b"bad")), ("3", "none", bytearray(b"x")), ("4", "test", bytearray())], "key string, kind string, body binary")
+    parsed = parsing.parse_pages(pages, "key", "kind", "body")
+    assert {r["key"]: (r["error"] or "")[:8] for r in parsed.collect()} == {"1": "", "2": "KeyError", "3": "KeyError", "4": "no speec"}
+    assert {(r["reason"], r["n"]) for r in parsing.diagnostics(parsed).where("site = 'test'").collect()} == {("parsed", 1), ("KeyError", 1), ("no speeches", 1)}
+    with pytest.raises(ValueError):
+        parsing.register_parser("test", lambda raw: [])
+
+
+def test_deliveries(spark, tmp_path):
+    from minutesmith.sources import parsing
+
+    assert parsing.right_name("H19年".encode("cp932").decode("cp437")) == "H19年" and parsing.right_name("平成") == "平成"
+    assert parsing.filed_as("x/y.txt", "令和7年定例会（第２号）　本文 : 2025-06-10") == "download/20250610_令和7年定例会_2.txt"
+    assert parsing.download_shape("<h1>会議録（第1号） 本文 2025-06-10</h1><li class=voice-block data-voice_code=3><p class=voice__text>はい</p></li>") == "会議録（第1号） 本文 : 2025-06-10\n" + "-" * 64 + "\n3:\nはい"
+    text = "第１号\n平成16年9月28日（火曜日）\n一\n午後4時散会\n第２号\n平成16年9月29日（水曜日）\n二\n閉会\n付録"
+    rows = parsing.split_sittings(spark.createDataFrame([("f", text), ("g", "日付なし"), ("h", None)], "s string, t string"), "s", "t").collect()
+    assert [(r["source"], r["number"], r["text"].split("\n")[-1]) for r in rows] == [("f#2004-09-28", 1, "午後4時散会"), ("f#2004-09-29", 2, "閉会")]
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    parsing.swap_rewrite(spark, spark.read.parquet(path).where("id > 0"), path, path + ".bak")
+    assert spark.read.parquet(path).count() == 2 and spark.read.parquet(path + ".bak").count() == 3
+
+
+def test_link_rules(spark):
+    links = spark.createDataFrame([("a", "b", "令和7年", 1), ("b", "c", "総務委員会", 2), ("b", "d", "特別", 3), ("c", "e", "会議録", 4)], "source string, target string, label string, position int")
+    start = spark.createDataFrame([("a",)], "url string")
+    assert [(r["url"], r["path"]) for r in walk.levels(start, links, ["年$", "委員会", "会議録"]).collect()] == [("e", ["令和7年", "総務委員会", "会議録"])]
+    twice = spark.createDataFrame([("u", "目次", 1), ("u", "会議録", 2)], "target string, label string, position int")
+    assert [(r["target"], r["label"]) for r in walk.accepted(twice, "label", "target", None, "目次").collect()] == [("u", "会議録")]
+    assert not walk.pages_differ(start, start, "url")
