@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutesmith.llm import abuse, canonical, encoding, lookalikes, mixing, names, nearcopies, packing, sentences, tokens, turns
+from minutesmith.llm.sql import SQL
 from minutesmith.runtime import table
 
 
@@ -119,4 +120,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

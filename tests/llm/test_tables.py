@@ -123,5 +123,15 @@ def test_queries_run(spark, data, name):
     assert found.count() >= 0 and len(set(found.columns)) == len(found.columns)
 
 
+def test_near_copies_against_sql(spark, data):
+    import glob
+    import os
+
+    con = pytest.importorskip("duckdb").connect()
+    for f in glob.glob(f"{data}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM read_parquet('{f}')")
+    assert sorted(map(tuple, queries()["p2_found"](spark, data).collect())) == sorted(con.execute(oracle_sql()["p2_found"]).fetchall())
+
+
 def test_sql_has_queries():
     assert set(oracle_sql()) <= set(queries())
