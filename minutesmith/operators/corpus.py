@@ -38,12 +38,13 @@ def full_text(speeches: Column) -> Column:
     return F.array_join(F.transform(speeches, lambda s: s["text"]), "\n\n")
 
 
-def stats(meetings: DataFrame, speeches: DataFrame, by: list[str], key: str = "meeting_id") -> DataFrame:
+def stats(meetings: DataFrame, speeches: DataFrame, by: list[str], key: str = "meeting_id", size: Column | None = None) -> DataFrame:
     """Counts of meetings, speeches, characters and dates. Both inputs are aggregated before they meet, so nothing is joined at the
-    grain of speeches."""
+    grain of speeches. size: characters of a speech, for speeches that no longer carry their text."""
+    size = F.length("text") if size is None else size
     per_meeting = speeches.groupBy(key).agg(
-        F.count("*").alias("n"), F.count_if(F.col("kind") == "verbatim").alias("verbatim"), F.sum(F.when(F.col("kind") == "verbatim", F.length("text")).otherwise(0)).alias("chars"),
-        F.count_if(F.col("kind") == "summary").alias("summary"), F.sum(F.when(F.col("kind") == "summary", F.length("text")).otherwise(0)).alias("summary_chars"),
+        F.count("*").alias("n"), F.count_if(F.col("kind") == "verbatim").alias("verbatim"), F.sum(F.when(F.col("kind") == "verbatim", size).otherwise(0)).alias("chars"),
+        F.count_if(F.col("kind") == "summary").alias("summary"), F.sum(F.when(F.col("kind") == "summary", size).otherwise(0)).alias("summary_chars"),
     )
     joined = meetings.join(per_meeting, key, "left").fillna(0, ["n", "verbatim", "chars", "summary", "summary_chars"])
     only_summary = (F.col("n") > 0) & (F.col("summary") == F.col("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from minutesmith.functions import dates, labels, patterns, policy, text
@@ -16,57 +16,59 @@ from minutesmith.streaming import incremental
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _speeches(s: SparkSession, d: str) -> DataFrame:
-    """Speeches, each once, as delivered last."""
-    return corpus.latest(table(s, d, "speeches"), "speech_id", "retrieved_at")
+def _speeches(s: SparkSession, d: str, *columns: Column | str) -> DataFrame:
+    """Speeches, each once, as delivered last; only the columns named, so that nothing else is read or moved."""
+    rows = table(s, d, "speeches")
+    return corpus.latest(rows.select("speech_id", "retrieved_at", *(c for c in columns if not isinstance(c, str) or c != "speech_id")) if columns else rows, "speech_id", "retrieved_at")
 
 
-def _meetings(s: SparkSession, d: str) -> DataFrame:
-    return corpus.latest(table(s, d, "meetings"), "meeting_id", "retrieved_at")
+def _meetings(s: SparkSession, d: str, *columns: Column | str) -> DataFrame:
+    rows = table(s, d, "meetings")
+    return corpus.latest(rows.select("meeting_id", "retrieved_at", *(c for c in columns if not isinstance(c, str) or c != "meeting_id")) if columns else rows, "meeting_id", "retrieved_at")
 
 
 def corpus_stats(s: SparkSession, d: str) -> DataFrame:
-    spoken = _speeches(s, d).select("meeting_id", "kind", "text")
-    found = corpus.stats(_meetings(s, d).select("meeting_id", "prefecture", "meeting_date"), spoken, ["prefecture"])
+    spoken = _speeches(s, d, "meeting_id", "kind", F.length("text").alias("characters"))
+    found = corpus.stats(_meetings(s, d, "prefecture", "meeting_date"), spoken, ["prefecture"], size=F.col("characters"))
     return found.withColumn("first_date", F.col("first_date").cast("string")).withColumn("last_date", F.col("last_date").cast("string"))
 
 
 def latest_speeches(s: SparkSession, d: str) -> DataFrame:
-    return _speeches(s, d).select("speech_id", "meeting_id", "speech_order", "speaker", "role", "kind", text.text_digest(F.col("text")).alias("digest"))
+    return _speeches(s, d, "meeting_id", "speech_order", "speaker", "role", "kind", text.text_digest(F.col("text")).alias("digest")).drop("retrieved_at")
 
 
 def build_meetings(s: SparkSession, d: str) -> DataFrame:
-    nested = corpus.nest(_meetings(s, d).select("meeting_id", "prefecture"), _speeches(s, d), "meeting_id", "speech_order", ["speaker", "role", "text", "kind"])
+    nested = corpus.nest(_meetings(s, d, "prefecture").drop("retrieved_at"), _speeches(s, d, "meeting_id", "speech_order", "speaker", "role", "text", "kind"), "meeting_id", "speech_order", ["speaker", "role", "text", "kind"])
     joined = corpus.full_text(F.col("speeches"))
     return nested.select("meeting_id", "prefecture", F.size("speeches").cast("bigint").alias("n"), text.text_digest(joined).alias("digest"), F.length(joined).cast("bigint").alias("characters"), corpus.meeting_kind(F.col("speeches")).alias("kind"))
 
 
 def flatten_outer(s: SparkSession, d: str) -> DataFrame:
-    nested = corpus.nest(_meetings(s, d).select("meeting_id", "title"), _speeches(s, d), "meeting_id", "speech_order", ["speaker", "role", "kind"])
+    nested = corpus.nest(_meetings(s, d, "title").drop("retrieved_at"), _speeches(s, d, "meeting_id", "speech_order", "speaker", "role", "kind"), "meeting_id", "speech_order", ["speaker", "role", "kind"])
     return corpus.flatten(nested).select("meeting_id", "title", "speech_order", "speaker", "role", "kind")
 
 
 def kind_rollup(s: SparkSession, d: str) -> DataFrame:
-    by = _speeches(s, d).groupBy("meeting_id").agg(F.bool_and(F.col("kind") == "summary").alias("all_summary"))
+    by = _speeches(s, d, "meeting_id", "kind").groupBy("meeting_id").agg(F.bool_and(F.col("kind") == "summary").alias("all_summary"))
     return by.groupBy(F.when(F.col("all_summary"), "summary").otherwise("verbatim").alias("kind")).agg(F.count("*").alias("n"))
 
 
 def record_keys(s: SparkSession, d: str) -> DataFrame:
-    return corpus.with_key(_meetings(s, d)).select("meeting_id", "record_key")
+    return corpus.with_key(_meetings(s, d, "url", "source_file")).select("meeting_id", "record_key")
 
 
 def routed_counts(s: SparkSession, d: str) -> DataFrame:
-    spoken = _speeches(s, d)
+    spoken = _speeches(s, d, "prefecture", "kind")
     return spoken.groupBy(corpus.routed_path(F.col("prefecture"), F.col("kind")).alias("path")).agg(F.count("*").alias("n"))
 
 
 def csv_export(s: SparkSession, d: str) -> DataFrame:
-    flat = _speeches(s, d)
+    flat = _speeches(s, d, "speaker", "role", "meeting_date")
     return flat.select("speech_id", F.coalesce("speaker", F.lit("")).alias("speaker"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce(F.col("meeting_date").cast("string"), F.lit("")).alias("date"))
 
 
 def dated_range(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d)
+    m = _meetings(s, d, "meeting_date")
     return m.where(dates.in_range(F.col("meeting_date"), "2023-01-01", "2024-06-30")).select("meeting_id", F.col("meeting_date").cast("string").alias("date"))
 
 
@@ -95,18 +97,18 @@ def presence_counts(s: SparkSession, d: str) -> DataFrame:
 
 
 def prefix_route(s: SparkSession, d: str) -> DataFrame:
-    routed = audit.longest_prefix(_meetings(s, d).select("meeting_id", "url"), "url", table(s, d, "sites").where("start_url is not null"), "start_url", "site")
+    routed = audit.longest_prefix(_meetings(s, d, "url").select("meeting_id", "url"), "url", table(s, d, "sites").where("start_url is not null"), "start_url", "site")
     return routed.select("meeting_id", "site")
 
 
 def listing_lookup(s: SparkSession, d: str) -> DataFrame:
     listed = corpus.latest(table(s, d, "listing").where("url is not null"), "url", "listed_at").select("url", F.col("title").alias("listed_title"), F.col("meeting_date").alias("listed_date"))
-    m = _meetings(s, d).join(listed, "url", "left")
+    m = _meetings(s, d, "url", "meeting_date", "title").join(listed, "url", "left")
     return m.select("meeting_id", F.coalesce("meeting_date", "listed_date").cast("string").alias("date"), F.coalesce("title", "listed_title").alias("title"), F.coalesce(F.col("meeting_date") != F.col("listed_date"), F.lit(False)).alias("disagrees"))
 
 
 def edition_preference(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d).select("meeting_id", "council_id", "title")
+    m = _meetings(s, d, "council_id", "title").drop("retrieved_at")
     edition = F.when(F.col("title").contains("確定版"), "確定版").when(F.col("title").contains("速報版"), "速報版").otherwise("")
     label = F.regexp_replace(F.regexp_replace("title", "[（【]?(確定版|速報版)[）】]?", ""), "[ 　]", "")
     rows = m.withColumn("edition", F.when(F.col("title").isNotNull(), edition)).withColumn("label", label)
@@ -121,30 +123,30 @@ def speaker_diff(s: SparkSession, d: str) -> DataFrame:
 
 def page_concat(s: SparkSession, d: str) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("speech_order", "speech_id", "text")))
-    joined = _speeches(s, d).groupBy("meeting_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("body"))
+    joined = _speeches(s, d, "meeting_id", "speech_order", "text").groupBy("meeting_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("body"))
     return joined.select("meeting_id", F.length("body").cast("bigint").alias("characters"), text.text_digest(F.col("body")).alias("digest"))
 
 
 def speaker_counts(s: SparkSession, d: str) -> DataFrame:
-    sp = _speeches(s, d)
+    sp = _speeches(s, d, "prefecture", "speaker")
     return sp.groupBy("prefecture").agg(F.count_distinct("speaker").alias("spellings"), F.count_distinct(F.regexp_replace("speaker", "[ 　]", "")).alias("without_spaces"), F.count_if(F.col("speaker") == "").alias("unattributed"))
 
 
 def role_counts(s: SparkSession, d: str) -> DataFrame:
-    return corpus.top_counts(_speeches(s, d).where("role is not null"), "role")
+    return corpus.top_counts(_speeches(s, d, "role").where("role is not null"), "role")
 
 
 def top_roles(s: SparkSession, d: str) -> DataFrame:
-    return corpus.top_counts(_speeches(s, d).where("role is not null"), "role", 10)
+    return corpus.top_counts(_speeches(s, d, "role").where("role is not null"), "role", 10)
 
 
 def grouped_names(s: SparkSession, d: str) -> DataFrame:
-    names = _speeches(s, d).where("speaker <> ''").select("meeting_id", "speaker").distinct()
+    names = _speeches(s, d, "meeting_id", "speaker").where("speaker <> ''").select("meeting_id", "speaker").distinct()
     return names.groupBy("meeting_id").agg(F.array_join(F.sort_array(F.collect_list("speaker")), "|").alias("names"))
 
 
 def pooled_offices(s: SparkSession, d: str) -> DataFrame:
-    return corpus.pooled_offices(_speeches(s, d))
+    return corpus.pooled_offices(_speeches(s, d, "role"))
 
 
 def stated_counts(s: SparkSession, d: str) -> DataFrame:
@@ -154,22 +156,22 @@ def stated_counts(s: SparkSession, d: str) -> DataFrame:
 
 
 def gap_check(s: SparkSession, d: str) -> DataFrame:
-    return audit.gaps(_speeches(s, d), "meeting_id", "speech_order")
+    return audit.gaps(_speeches(s, d, "meeting_id", "speech_order"), "meeting_id", "speech_order")
 
 
 def order_breaks(s: SparkSession, d: str) -> DataFrame:
-    sp = _speeches(s, d).withColumn("upto", F.col("speech_order"))
+    sp = _speeches(s, d, "meeting_id", "speech_order").withColumn("upto", F.col("speech_order"))
     return sequences.breaks(sp, ["meeting_id"], ["speech_order", "speech_id"], "speech_order", "upto").where("breaks > 0")
 
 
 def reparse_diff(s: SparkSession, d: str) -> DataFrame:
-    before = _speeches(s, d).select("meeting_id", "speech_id", "speaker", "role", "kind")
+    before = _speeches(s, d, "meeting_id", "speaker", "role", "kind").drop("retrieved_at")
     after = before.withColumn("speaker", F.regexp_replace("speaker", "[ 　]", ""))
     return audit.rewritten(before, after, "meeting_id", "speech_id", ["speaker", "role", "kind"])
 
 
 def line_width_mode(s: SparkSession, d: str) -> DataFrame:
-    lines = _speeches(s, d).select("meeting_id", F.explode(F.split("text", "\n")).alias("line")).select("meeting_id", F.length("line").alias("width")).where("width >= 20")
+    lines = _speeches(s, d, "meeting_id", "text").select("meeting_id", F.explode(F.split("text", "\n")).alias("line")).select("meeting_id", F.length("line").alias("width")).where("width >= 20")
     counts = lines.groupBy("meeting_id", "width").agg(F.count("*").alias("n"))
     return counts.groupBy("meeting_id").agg(F.max_by("width", F.struct("n", "width")).cast("bigint").alias("width"))
 
@@ -187,17 +189,17 @@ def repeated_deliveries(s: SparkSession, d: str) -> DataFrame:
 
 
 def fill_forward(s: SparkSession, d: str) -> DataFrame:
-    sp = _speeches(s, d).select("meeting_id", "speech_order", "speech_id", "role")
+    sp = _speeches(s, d, "meeting_id", "speech_order", "role").drop("retrieved_at")
     return sequences.fill_forward(sp, ["meeting_id"], ["speech_order", "speech_id"], "role", "last_role").select("speech_id", "last_role")
 
 
 def ordered_sample(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d).select("prefecture", "meeting_id")
+    m = _meetings(s, d, "prefecture").select("prefecture", "meeting_id")
     return sequences.even_sample(m, ["prefecture"], ["meeting_id"], 6)
 
 
 def rotating_sample(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d).where("committee is not null and meeting_date is not null").withColumn("year", F.year("meeting_date"))
+    m = _meetings(s, d, "committee", "meeting_date").where("committee is not null and meeting_date is not null").withColumn("year", F.year("meeting_date"))
     return sequences.rotating_sample(m.select("year", "committee", "meeting_id"), "year", "committee", "meeting_id")
 
 
@@ -207,7 +209,7 @@ def ordered_unique(s: SparkSession, d: str) -> DataFrame:
 
 
 def speech_turns(s: SparkSession, d: str) -> DataFrame:
-    changed = _speeches(s, d).select("meeting_id", "speech_order", "speech_id", "speaker")
+    changed = _speeches(s, d, "meeting_id", "speech_order", "speaker")
     w = Window.partitionBy("meeting_id").orderBy("speech_order", "speech_id")
     marked = changed.withColumn("opens", ~F.lag("speaker").over(w).eqNullSafe(F.col("speaker")))
     return marked.groupBy("meeting_id").agg(F.count_if("opens").alias("turns"))
@@ -215,23 +217,23 @@ def speech_turns(s: SparkSession, d: str) -> DataFrame:
 
 def marker_spans(s: SparkSession, d: str) -> DataFrame:
     body = F.concat(F.lit("前書き\n"), F.concat(F.lit("○"), F.coalesce("role", F.lit("")), F.lit("（"), F.col("speaker"), F.lit("君）　"), F.lit("発言")))
-    sp = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥]{4}$")).select("speech_id", body.alias("body"))
+    sp = _speeches(s, d, "speaker", "role").where(F.col("speaker").rlike("^[一-龥]{4}$")).select("speech_id", body.alias("body"))
     found = sp.select("speech_id", F.inline(patterns.split_speeches(F.col("body"), r"(?m)^○(?P<role_a>[^（\n]*)（(?P<speaker_a>[^）\n]+?)君）\s*")))
     return found.select("speech_id", "order", "speaker", "role", "text", "kind")
 
 
 def numbered_blocks(s: SparkSession, d: str) -> DataFrame:
     lines = F.array_join(F.transform(F.col("names"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x)), "\n")
-    own = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥]+$")).select("meeting_id", "speaker").distinct().groupBy("meeting_id").agg(F.sort_array(F.collect_list("speaker")).alias("names"))
+    own = _speeches(s, d, "meeting_id", "speaker").where(F.col("speaker").rlike("^[一-龥]+$")).select("meeting_id", "speaker").distinct().groupBy("meeting_id").agg(F.sort_array(F.collect_list("speaker")).alias("names"))
     return own.select("meeting_id", F.inline(patterns.split_blocks(lines))).select("meeting_id", "number", "body")
 
 
 def limited(s: SparkSession, d: str) -> DataFrame:
-    return _meetings(s, d).where(dates.in_range(F.col("meeting_date"), "2022-01-01", None)).orderBy("meeting_id").limit(25).select("meeting_id")
+    return _meetings(s, d, "meeting_date").where(dates.in_range(F.col("meeting_date"), "2022-01-01", None)).orderBy("meeting_id").limit(25).select("meeting_id")
 
 
 def councils_latest(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d)
+    m = _meetings(s, d, "council_id", "meeting_date")
     return m.groupBy("council_id").agg(F.max("meeting_date").cast("string").alias("last_date"), F.count("*").alias("n")).orderBy(F.desc("council_id"))
 
 
@@ -250,37 +252,37 @@ def session_dates(s: SparkSession, d: str) -> DataFrame:
     found = dates.japanese_date(F.col("t"))
     day = F.col("meeting_date")
     era = F.concat(F.lit("令和"), (F.year(day) - 2018).cast("string"), F.lit("年"), F.month(day).cast("string"), F.lit("月"), F.dayofmonth(day).cast("string"), F.lit("日（会議録）"))
-    return _meetings(s, d).where("meeting_date >= date '2019-05-01'").select("meeting_id", era.alias("t")).select("meeting_id", found.cast("string").alias("date"))
+    return _meetings(s, d, "meeting_date").where("meeting_date >= date '2019-05-01'").select("meeting_id", era.alias("t")).select("meeting_id", found.cast("string").alias("date"))
 
 
 def file_dates(s: SparkSession, d: str) -> DataFrame:
     name = F.concat(F.lit("R"), F.lpad((F.year("meeting_date") - 2018).cast("string"), 2, "0"), F.date_format("meeting_date", "MMdd"), F.lit("A1"))
-    return _meetings(s, d).where("meeting_date >= date '2019-05-01'").select("meeting_id", dates.file_date(name).cast("string").alias("date"))
+    return _meetings(s, d, "meeting_date").where("meeting_date >= date '2019-05-01'").select("meeting_id", dates.file_date(name).cast("string").alias("date"))
 
 
 def session_months(s: SparkSession, d: str) -> DataFrame:
     month = F.regexp_extract("session", "年([0-9]{1,2})月", 1).try_cast("int")
-    m = _meetings(s, d).select("meeting_id", "meeting_date", month.alias("session_month")).where("session_month is not null and meeting_date is not null")
+    m = _meetings(s, d, "meeting_date", "session").select("meeting_id", "meeting_date", month.alias("session_month")).where("session_month is not null and meeting_date is not null")
     return m.select("meeting_id", dates.within_session(F.month("meeting_date"), F.col("session_month")).alias("within"), dates.sitting_year(F.year("meeting_date"), F.col("session_month"), F.month("meeting_date"), F.year("meeting_date")).cast("bigint").alias("year"))
 
 
 def plain_speakers(s: SparkSession, d: str) -> DataFrame:
-    own = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥 　]+$"))
+    own = _speeches(s, d, "speaker").where(F.col("speaker").rlike("^[一-龥 　]+$"))
     plain = F.regexp_replace(text.modern_forms(F.col("speaker")), "[ 　]", "")
     return own.select("speech_id", plain.alias("speaker"))
 
 
 def name_collisions(s: SparkSession, d: str) -> DataFrame:
     """Spellings that differ by spaces, width or old forms only, over every name."""
-    return audit.name_collisions(_speeches(s, d).select("speaker"), "speaker")
+    return audit.name_collisions(_speeches(s, d, "speaker"), "speaker")
 
 
 def swallowed_markers(s: SparkSession, d: str) -> DataFrame:
-    return audit.swallowed_markers(_speeches(s, d)).select("speech_id")
+    return audit.swallowed_markers(_speeches(s, d, "text")).select("speech_id")
 
 
 def odd_speakers(s: SparkSession, d: str) -> DataFrame:
-    sp = _speeches(s, d).where("speaker <> ''")
+    sp = _speeches(s, d, "speaker").where("speaker <> ''")
     return sp.groupBy(F.length("speaker").cast("bigint").alias("characters")).agg(F.count("*").alias("n"), F.count_if(F.col("speaker").rlike("[0-9０-９]")).alias("with_digits"), F.count_if(F.col("speaker").rlike("[A-Za-z]")).alias("with_letters"))
 
 
@@ -290,11 +292,11 @@ def office_suffixes(s: SparkSession, d: str) -> DataFrame:
 
 
 def committee_lengths(s: SparkSession, d: str) -> DataFrame:
-    return _meetings(s, d).groupBy(F.length("committee").cast("bigint").alias("characters")).agg(F.count("*").alias("n"))
+    return _meetings(s, d, "committee").groupBy(F.length("committee").cast("bigint").alias("characters")).agg(F.count("*").alias("n"))
 
 
 def quality_counts(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d)
+    m = _meetings(s, d, "prefecture", "url", "meeting_date", "committee", "n_speeches", "source_html_sha256")
     return m.groupBy("prefecture").agg(
         F.count("*").alias("meetings"), F.count_if(F.col("url").isNull()).alias("without_url"), F.count_if(F.col("meeting_date").isNull()).alias("undated"), F.count_if(F.col("committee").isNull()).alias("plenary"),
         F.count_if(F.col("n_speeches") == 0).alias("empty"), F.count_if(F.col("source_html_sha256").isNull()).alias("without_digest"),
@@ -302,7 +304,7 @@ def quality_counts(s: SparkSession, d: str) -> DataFrame:
 
 
 def duplicate_urls(s: SparkSession, d: str) -> DataFrame:
-    return _meetings(s, d).where("url is not null").groupBy("url").agg(F.count("*").alias("n")).where("n > 1")
+    return _meetings(s, d, "url").where("url is not null").groupBy("url").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def url_shapes(s: SparkSession, d: str) -> DataFrame:
@@ -368,7 +370,7 @@ def incremental_append(s: SparkSession, d: str) -> DataFrame:
 
 def url_walk(s: SparkSession, d: str) -> DataFrame:
     """Councils reached from the first one over meetings of one day: a graph walk of three steps."""
-    m = _meetings(s, d).where("meeting_date is not null").select("council_id", "meeting_date").distinct()
+    m = _meetings(s, d, "council_id", "meeting_date").where("meeting_date is not null").select("council_id", "meeting_date").distinct()
     links = m.select(F.col("council_id").cast("string").alias("source"), "meeting_date").join(m.select(F.col("council_id").cast("string").alias("target"), "meeting_date"), "meeting_date").select("source", "target").distinct()
     start = s.range(1, 2).select(F.col("id").cast("string").alias("url"))
     return walk.reach(start, links, 3).select("url", F.col("depth").cast("bigint").alias("depth"))
@@ -380,7 +382,7 @@ def list_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 def packed_requests(s: SparkSession, d: str) -> DataFrame:
-    sp = _speeches(s, d).groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("speech_order", "speech_id", F.length("text").alias("cost")))).alias("x"))
+    sp = _speeches(s, d, "meeting_id", "speech_order", F.length("text").alias("cost")).groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct("speech_order", "speech_id", "cost"))).alias("x"))
     chunks = sequences.packed_positions(F.transform("x", lambda v: v["speech_id"]), F.transform("x", lambda v: v["cost"]), 1800)
     return sp.select("meeting_id", F.size(chunks).cast("bigint").alias("requests"))
 
@@ -400,7 +402,7 @@ def listed_kinds(s: SparkSession, d: str) -> DataFrame:
 
 
 def sessions_of_titles(s: SparkSession, d: str) -> DataFrame:
-    m = _meetings(s, d).where("title is not null")
+    m = _meetings(s, d, "title").where("title is not null")
     return m.select("meeting_id", documents.split_session(F.col("title")).alias("session"), documents.committee_of(F.col("title")).alias("committee"))
 
 
@@ -428,7 +430,7 @@ def unwrapped_documents(s: SparkSession, d: str) -> DataFrame:
 
 def labels_read(s: SparkSession, d: str) -> DataFrame:
     """Labels written in every shape from the speeches, and read back."""
-    own = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥]{4}$") & F.col("role").rlike("^[一-龥]{2,8}$"))
+    own = _speeches(s, d, "speaker", "role").where(F.col("speaker").rlike("^[一-龥]{4}$") & F.col("role").rlike("^[一-龥]{2,8}$"))
     shape = F.pmod("speech_id", F.lit(3))
     line = F.when(shape == 0, F.concat(F.lit("○"), "role", F.lit("（"), "speaker", F.lit("君）　はい"))).when(shape == 1, F.concat(F.lit("◆"), "speaker", F.lit("議員　はい"))).otherwise(F.concat(F.lit("◎"), "speaker", F.lit("　"), "role", F.lit("　はい")))
     return labels.with_label(own.select("speech_id", line.alias("line")), "line", "l").select("speech_id", "l.speaker", "l.role", F.regexp_replace("l.rest", "　", "").alias("rest"))
@@ -436,14 +438,14 @@ def labels_read(s: SparkSession, d: str) -> DataFrame:
 
 def resolved_dates(s: SparkSession, d: str) -> DataFrame:
     listed = corpus.latest(table(s, d, "listing").where("url is not null").select("url", "listed_at", "meeting_date"), "url", "listed_at").select("url", F.col("meeting_date").alias("listed"))
-    own = _meetings(s, d).join(listed, "url", "left").select(labels.resolved_date(F.col("listed"), F.col("meeting_date")).alias("r"))
+    own = _meetings(s, d, "url", "meeting_date").join(listed, "url", "left").select(labels.resolved_date(F.col("listed"), F.col("meeting_date")).alias("r"))
     return own.groupBy("r.source", "r.disagrees").agg(F.count("*").alias("n"))
 
 
 def echoes_removed(s: SparkSession, d: str) -> DataFrame:
     title = F.concat(F.coalesce("role", F.lit("")), F.lit("（"), "speaker", F.lit("君）"))
     body = F.concat(F.lit("<pre>◆"), title, F.lit("　"), "text", F.lit("</pre>"))
-    own = _speeches(s, d).where(F.col("speaker").rlike("^[一-龥]+$") & F.coalesce(F.col("role"), F.lit("議員")).rlike("^[一-龥]+$") & F.col("text").rlike("^[一-龥「]") & ~F.col("text").rlike("\\s$"))
+    own = _speeches(s, d, "speaker", "role", "text").where(F.col("speaker").rlike("^[一-龥]+$") & F.coalesce(F.col("role"), F.lit("議員")).rlike("^[一-龥]+$") & F.col("text").rlike("^[一-龥「]") & ~F.col("text").rlike("\\s$"))
     return own.select("speech_id", text.text_digest(labels.without_echo(body, title)).alias("digest"))
 
 
