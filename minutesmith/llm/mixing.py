@@ -97,7 +97,6 @@ def report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     by = uses.groupBy("source").agg(F.sum("t").alias("tokens"), F.count("*").alias("documents"), F.max("n").alias("most_uses"))
     own = targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     every = own.join(by, "source", "left").fillna(0, ["tokens", "documents", "most_uses"])
-    whole = by.agg(F.sum("tokens").alias("whole"))
-    # One row on the right, so no product of tables: every source meets the same total.
-    out = every.withColumn("one", F.lit(1)).join(whole.withColumn("one", F.lit(1)), "one", "left")
-    return out.select("source", "target_share", F.coalesce(F.col("tokens") / F.col("whole"), F.lit(0.0)).alias("actual_share"), "tokens", "documents", "most_uses", "max_repeats")
+    # One row per source is left by now, so their sum may be taken in one place.
+    out = every.withColumn("whole", F.sum("tokens").over(Window.partitionBy(F.lit(0))))
+    return out.select("source", "target_share", F.when(F.col("whole") > 0, F.col("tokens") / F.col("whole")).otherwise(0.0).alias("actual_share"), "tokens", "documents", "most_uses", "max_repeats")
