@@ -38,8 +38,11 @@ def _running(df: DataFrame, keys: list[str], bucket: str, order: list[str], valu
 
 def plan(docs: DataFrame, targets: DataFrame, total: int | None = None) -> list[dict]:
     """One row of settings per target source: its tokens, its share, and the tokens it is to give."""
-    sums = {r["source"]: (r["t"], r["n"]) for r in docs.groupBy("source").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).join(targets.select("source").distinct(), "source", "left_semi").limit(SOURCES).collect()}
-    rows = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("most")).orderBy("source").limit(SOURCES).collect()
+    rows = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("most")).orderBy("source").limit(SOURCES + 1).collect()
+    if len(rows) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources")
+    wanted = docs.join(targets.select("source").distinct(), "source", "left_semi")  # so at most as many groups
+    sums = {r["source"]: (r["t"], r["n"]) for r in wanted.groupBy("source").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).collect()}
     out = [{"source": r["source"], "target": max(0.0, r["share"] or 0.0), "most": max(0, 1 if r["most"] is None else r["most"]), "tokens": sums.get(r["source"], (0, 0))[0] or 0, "rows": sums.get(r["source"], (0, 0))[1]} for r in rows]
     able = [x for x in out if x["target"] > 0 and x["tokens"] * x["most"] > 0]
     whole = sum(x["target"] for x in able)

@@ -112,6 +112,39 @@ def test_mixing(spark):
     assert mixing.mix(frame.limit(0), targets).collect() == []
 
 
+def test_turn_tables(spark):
+    from minutesmith.llm import turns
+
+    ddl = "raw_id bigint, attendees string, body string, k string, turn_no int"
+    att = "A＝部長:甲田一郎; B＝議長　丙川三子"
+    long = "\n".join(f"{'甲田' if i % 2 else '議長'}：第{i}点です。" for i in range(2000))
+    rows = [(1, att, "甲田：はい。", "x", 9), (1, att, "甲田：はい。", "x", 9), (2, None, "甲田：はい。", None, None), (3, att, None, None, None), (4, att, "", None, None), (5, att, long, None, None), (None, att, "A：はい。", None, None)]
+    found = turns.speaker_turns(spark.createDataFrame(rows, ddl)).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["raw_id"], []).append(r["turn_no"])
+    assert sorted(by[1]) == [1, 1] and by[None] == [1] and sorted(by[5]) == list(range(1, 2001)) and set(by) == {1, 5, None}
+    assert turns.speaker_turns(spark.createDataFrame([], ddl)).collect() == []
+
+
+def test_column_operators_on_odd_tables(spark):
+    from minutesmith.llm import encoding, lookalikes
+
+    texts = [None, "", "はい。" * 4000, "はい。", "はい。", "ã\x81¯ã\x81\x84ã\x80\x82", "令和５年"]
+    df = spark.createDataFrame([(t, "x") for t in texts], "t string, damaged string")
+    out = df.select(encoding.check_encoding(F.col("t")).alias("e"), lookalikes.usual_form(F.col("t")).alias("u"), abuse.scored(F.col("t"))["score"].alias("s"), "damaged").collect()
+    assert [r["e"]["damaged"] for r in out] == [False] * 5 + [True, False] and out[5]["e"]["restored"] == "はい。"
+    assert [r["u"] for r in out] == [*texts[:6], "令和5年"] and {r["s"] for r in out} == {0.0}
+    empty = spark.createDataFrame([], "t string")
+    assert empty.select(encoding.check_encoding(F.col("t")), lookalikes.usual_form(F.col("t")), abuse.scored(F.col("t"))).collect() == []
+
+
+def test_ties_are_unmatched(spark):
+    reference = spark.createDataFrame([("c", 1, "総務企画委員会"), ("c", 2, "総務財政委員会")], "f string, id bigint, name string")
+    typed = spark.createDataFrame([("c", "総務委員会"), ("c", "総務" * 200)], "f string, value string")
+    assert {r["id"] for r in canonical.map_values(typed, reference, "f", "value", "id", "name").collect()} == {-1}
+
+
 def test_rates(spark):
     df = spark.createDataFrame([("a", "さっさと消えろ。"), ("a", "はい。"), (None, None)], "source string, t string")
     assert {r["source"]: (r["documents"], r["flagged"]) for r in abuse.rates(df, "source", "t").collect()} == {"a": (2, 1), None: (1, 0)}
