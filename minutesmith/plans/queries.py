@@ -464,11 +464,41 @@ def hinted_links(s: SparkSession, d: str) -> DataFrame:
     return walk.accepted(listed, "title", "url", "委員会", "特別").select("url", "title")
 
 
+def next_openings(s: SparkSession, d: str) -> DataFrame:
+    window = policy.FetchWindow(days=(5, 6), start=20 * 60, end=7 * 60)
+    return window.next_open(table(s, d, "events").select("ts"), "ts").groupBy(F.col("opens_on").cast("string").alias("opens_on")).agg(F.count("*").alias("n"))
+
+
+def notices(s: SparkSession, d: str) -> DataFrame:
+    m = _meetings(s, d, "prefecture", "meeting_date", "kind")
+    told = policy.covered(F.col("meeting_date"), F.lit("2023-01-01").cast("date"), F.lit("2023-12-31").cast("date"), F.col("kind") == "verbatim")
+    return m.groupBy(told.alias("covered")).agg(F.count("*").alias("n"))
+
+
+def exemptions(s: SparkSession, d: str) -> DataFrame:
+    prefixes = F.array(F.lit("https://gijiroku.kasumi.example/view/"), F.lit("https://gijiroku.azusa.example/"))
+    return table(s, d, "listing").groupBy(policy.exempt(F.col("url"), prefixes).alias("exempt")).agg(F.count("*").alias("n"))
+
+
+def daily_rollup(s: SparkSession, d: str) -> DataFrame:
+    """Inherited: grouping sets over kinds and days."""
+    e = table(s, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "value")
+    return e.rollup("event_type", "day").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
+
+
+def ranked_customers(s: SparkSession, d: str) -> DataFrame:
+    """Inherited: the first three of each group by window rank."""
+    c = table(s, d, "customer")
+    w = Window.partitionBy("c_mktsegment").orderBy(F.desc("c_acctbal"), "c_custkey")
+    return c.withColumn("place", F.row_number().over(w).cast("bigint")).where("place <= 3").select("c_mktsegment", "place", "c_custkey")
+
+
 ALL: tuple[Query, ...] = (
     corpus_stats, latest_speeches, build_meetings, flatten_outer, kind_rollup, record_keys, routed_counts, csv_export, dated_range, wanted_links, resume_anti, audit_missing, audit_by_site, presence_counts,
     prefix_route, listing_lookup, edition_preference, speaker_diff, page_concat, speaker_counts, role_counts, top_roles, grouped_names, pooled_offices, stated_counts, gap_check, order_breaks, reparse_diff,
     line_width_mode, first_per_group, repeated_deliveries, fill_forward, ordered_sample, rotating_sample, ordered_unique, speech_turns, marker_spans, numbered_blocks, limited, councils_latest, set_ops,
     dedupe_text, session_dates, file_dates, session_months, plain_speakers, name_collisions, swallowed_markers, odd_speakers, office_suffixes, committee_lengths, quality_counts, duplicate_urls, url_shapes,
     url_hosts, slugs, title_split, fetch_window, throttle, retries, hourly_events, event_sessions, incremental_append, url_walk, list_pages, packed_requests, order_revenue, listed_kinds, sessions_of_titles,
-    transcript_sections, rosters, indented_speeches, unwrapped_documents, labels_read, resolved_dates, echoes_removed, catalogue, new_on_second_page, hinted_links,
+    transcript_sections, rosters, indented_speeches, unwrapped_documents, labels_read, resolved_dates, echoes_removed, catalogue, new_on_second_page, hinted_links, next_openings, notices, exemptions,
+    daily_rollup, ranked_customers,
 )

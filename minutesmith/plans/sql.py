@@ -116,6 +116,11 @@ SQL: dict[str, str] = {
     "new_on_second_page": "SELECT DISTINCT url FROM listing WHERE url IS NOT NULL AND url NOT IN (SELECT url FROM meetings WHERE url IS NOT NULL)",
     "hinted_links": """SELECT url, arg_max(coalesce(title, ''), listed_at) AS title FROM listing WHERE url IS NOT NULL AND (regexp_matches(coalesce(title, ''), '委員会') OR regexp_matches(url, '委員会'))
         AND NOT (regexp_matches(coalesce(title, ''), '特別') OR regexp_matches(url, '特別')) GROUP BY 1""",
+    "next_openings": """SELECT CAST(CAST(CASE WHEN isodow(l) >= 6 THEN l ELSE l + INTERVAL 1 DAY * (6 - isodow(l)) END AS DATE) AS VARCHAR) AS opens_on, count(*) AS n FROM (SELECT ts + INTERVAL 9 HOUR AS l FROM events) GROUP BY 1""",
+    "notices": f"WITH {ONCE} SELECT coalesce(kind = 'verbatim' AND meeting_date BETWEEN DATE '2023-01-01' AND DATE '2023-12-31', false) AS covered, count(*) AS n FROM m GROUP BY 1",
+    "exemptions": """SELECT coalesce(starts_with(url, 'https://gijiroku.kasumi.example/view/') OR starts_with(url, 'https://gijiroku.azusa.example/'), false) AS exempt, count(*) AS n FROM listing GROUP BY 1""",
+    "daily_rollup": "SELECT event_type, day, count(*) AS n, round(sum(value), 3) AS total FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, value FROM events) GROUP BY ROLLUP (event_type, day)",
+    "ranked_customers": "SELECT c_mktsegment, place, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS place FROM customer) WHERE place <= 3",
     "listed_kinds": """SELECT CASE WHEN regexp_matches(title, '会議録|確定版|速報版|議事録') THEN 'minute' WHEN regexp_matches(title, '視察|調査') THEN 'visit' ELSE 'other' END AS kind,
         regexp_matches(title, '^[\\s　]*[0-9０-９]{1,2}月[\\s　]*[0-9０-９]{1,2}日.*号[\\s　]*$') AS sitting, count(*) AS n FROM listing WHERE title IS NOT NULL GROUP BY 1, 2""",
     "order_revenue": """SELECT c_mktsegment, year(o_orderdate) AS year, count(*) AS orders, round(sum(r), 2) AS revenue FROM (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS r FROM lineitem GROUP BY 1)

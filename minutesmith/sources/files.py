@@ -101,3 +101,27 @@ def api_rows(pages: DataFrame, ddl: str, array: str) -> DataFrame:
     """One row per element of an array of a JSON answer, parsed from its bytes as UTF-8."""
     parsed = F.from_json(F.decode(F.col("body"), "UTF-8"), f"struct<{ddl.replace(' array', ':array', 1)}>")
     return pages.select(F.col("key"), F.posexplode_outer(parsed[array]).alias("position", "item")).select("key", "position", "item.*")
+
+
+def read_cache(spark: SparkSession, folder: str) -> DataFrame:
+    """(key, url, status, body, header_charset, fetched_at) of a folder of cached answers: `<digest>.body` beside `<digest>.json`. An answer counts only
+    with both; what is stored of its encoding is not read, for the charset is found from the bytes each time."""
+    digest = F.regexp_extract("path", "([0-9a-f]{8,64})\\.(?:body|json)$", 1)
+    bodies = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.body").load(folder).select(digest.alias("digest"), F.col("content").alias("body"))
+    texts = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder).select(digest.alias("digest"), F.decode("content", "UTF-8").alias("j"))
+    meta = texts.select("digest", F.from_json("j", "key string, url string, status int, header_charset string, fetched_at timestamp").alias("m"))
+    return meta.join(bodies, "digest").select("m.key", "m.url", "m.status", "body", "m.header_charset", "m.fetched_at")
+
+
+def inspect(pages: DataFrame, body: str, selector: str | None = None, n: int = 20, shown: int = 500) -> DataFrame:
+    """A look at n pages: size, digest and the first characters, or how many elements a selector finds and the text of the first."""
+    from minutesmith.functions.bytes import page_text, parse_html, select
+
+    header = F.col("header_charset") if "header_charset" in pages.columns else F.lit(None).cast("string")
+    looked = pages.limit(n).withColumn("_t", page_text(F.col(body), header))
+    own = looked.select(*[c for c in pages.columns if c != body], F.octet_length(body).alias("bytes"), F.sha2(body, 256).alias("digest"), F.col("_t.charset").alias("charset"), F.col("_t.text").alias("text"))
+    if selector is None:
+        return own.withColumn("text", F.substring("text", 1, shown))
+    count = F.pandas_udf(lambda s: s.map(lambda v: len(select(parse_html(v), selector)) if v is not None else 0), "int")
+    first = F.pandas_udf(lambda s: s.map(lambda v: next((e.text()[:shown] for e in select(parse_html(v), selector)), None) if v is not None else None), "string")
+    return own.withColumn("found", count("text")).withColumn("text", first("text"))

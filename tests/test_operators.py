@@ -253,3 +253,27 @@ def test_link_rules(spark):
     twice = spark.createDataFrame([("u", "目次", 1), ("u", "会議録", 2)], "target string, label string, position int")
     assert [(r["target"], r["label"]) for r in walk.accepted(twice, "label", "target", None, "目次").collect()] == [("u", "会議録")]
     assert not walk.pages_differ(start, start, "url")
+
+
+def test_cache(spark, tmp_path):
+    import json
+
+    (tmp_path / "ab").mkdir()
+    for name, key in (("ab12cd34", "u1"), ("ffffffff", "u2")):
+        (tmp_path / "ab" / f"{name}.json").write_text(json.dumps({"key": key, "url": key, "status": 200, "header_charset": "utf-8", "encoding": "wrong"}), encoding="utf-8")
+    (tmp_path / "ab" / "ab12cd34.body").write_bytes('<meta charset=shift_jis><p class="x">髙木</p>'.encode("cp932"))
+    rows = files.read_cache(spark, str(tmp_path))
+    assert [r["key"] for r in rows.collect()] == ["u1"]
+    assert files.inspect(rows, "body", "p.x").first()["text"] == "髙木" and files.inspect(rows, "body").first()["charset"] == "cp932"
+    keys = files.cache_rows(spark.createDataFrame([("a", "b"), ("c", "c"), ("d", None)], "key string, final_url string")).collect()
+    assert sorted(r["key"] for r in keys) == ["a", "b", "c", "d"]
+
+
+def test_windows_as_a_stream(spark, tmp_path):
+    rows = [(dt.datetime(2025, 1, 1, 0, 10), "a", 1.0), (dt.datetime(2025, 1, 1, 0, 50), "a", 2.0), (dt.datetime(2025, 1, 1, 5, 0), "b", 3.0)]
+    ddl = "ts timestamp, kind string, value double"
+    spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(str(tmp_path / "in"))
+    counted = incremental.windowed_counts(spark.readStream.schema(ddl).parquet(str(tmp_path / "in")), "ts", "kind", "value", late="10 minutes")
+    query = counted.writeStream.format("memory").queryName("counted").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [(r["kind"], r["n"], r["total"]) for r in spark.sql("select * from counted").collect()] == [("a", 2, 3.0)]
