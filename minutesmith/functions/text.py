@@ -9,11 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Old forms in names and what they are today. Results must agree on them.
-OLD_FORMS = "﨑嵜髙澤濱濵邉邊齋齊眞德廣榮藏龍惠圓學國瀧瀨栁淺萬與壽實兒顯讀讓禮曉黑奧臺攝擴爲隨對巖桒曾覺條團氣壯釋藪嶌嶋冨"
+OLD_FORMS = "﨑嵜髙澤濱濵邉邊齋齊眞德廣榮藏龍惠圓學國瀧瀨栁淺萬與壽實兒顯讀讓禮曉黑奧臺攝擴爲隨對巖桒曾覺條團氣壯釋藪嶌嶋冨\ue002"
 NEW_FORMS = "崎崎高沢浜浜辺辺斎斉真徳広栄蔵竜恵円学国滝瀬柳浅万与寿実児顕読譲礼暁黒奥台摂拡為随対巌桑曽覚条団気壮釈薮島島富隆"
 FULL_DIGITS, DIGITS = "０１２３４５６７８９", "0123456789"
 #: Characters that NFKC may change; values without one need no Python.
-_COMPATIBLE = r"[^\x00-\x7F぀-ヿ一-鿿、。「」]|[゙-゜]"
+_COMPATIBLE = r"[^\x00-\x7F぀-ヿ一-鿿、。「」]|[\u3099-゜]"
 
 
 def nfkc(text: Column) -> Column:
