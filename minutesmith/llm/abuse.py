@@ -66,7 +66,7 @@ _LATIN = re.compile("[a-zà-öø-ÿ]")
 
 def _fold_char(ch: str) -> str:
     folded = unicodedata.normalize("NFKC", ch).lower().translate(MODERN).translate(HIRAGANA)
-    return "".join({"ヵ": "か", "ヶ": "け", "ゕ": "か", "ゖ": "け"}.get(c, c) for c in folded if unicodedata.category(c)[0] in "LM" and c not in "︀️")
+    return "".join({"ヵ": "か", "ヶ": "け", "ゕ": "か", "ゖ": "け"}.get(c, c) for c in folded if unicodedata.category(c)[0] in "LM" and c not in "\ufe00\ufe0f")
 
 
 class _Folder(dict):

@@ -37,7 +37,7 @@ LOOKALIKE = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχνωςАВЕЅІЈК
 WINDOW, SUSPECT, CERTAIN = 8, 4.25, 6.0
 GOAL = 0.1  # mean cost of a character at which the search is over
 STATES = 12  # states expanded at most
-LOST = re.compile("[�-\x80-\x9f]")
+LOST = re.compile("[�\ue000-\uf8ff\x80-\x9f]")
 HAN, HANGUL, KANA, HALF, LATIN, CYRILLIC, GREEK, DEVANAGARI, OTHER, NEUTRAL = range(10)
 
 

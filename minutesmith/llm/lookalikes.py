@@ -21,11 +21,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤⁦-⁯⠀ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
-SPACES = "   -   "
+INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\u2800\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e0fff"
+SPACES = "\u00a0\u1680\u2000-\u200a\u202f\u205f"
 #: Full-width letters and digits, half-width kana, radicals, duplicates among the ideographs, joining jamo, letter-like signs.
 FORMS = "０-９Ａ-Ｚａ-ｚ｡-ﾟ⺀-⿕豈-廓ᄀ-ᇿꥠ-꥿ힰ-퟿ΩKÅ\U0001d400-\U0001d7ffﬀ-ﬆ"
-MARKS = "̀-゙゚ͯ゛゜"
+MARKS = "\u0300-\u036f\u3099\u309a゛゜"
 #: Twins: characters that look the same in the scripts named, each column one shape. Fixed values.
 LATIN_CYRILLIC = ("ABEKMHOPCTXYSIJVaeopcyxsijhvwdqlGgNR", "АВЕКМНОРСТХУЅІЈѴаеорсухѕіјһѵԝԁԛӏԌɡИЯ")
 LATIN_GREEK = ("ABEZHIKMNOPTYXovpiuyn", "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονριυγη")
@@ -58,7 +58,7 @@ for first, second, pair in (
 
 _LETTERS = re.compile("[A-Za-zÀ-ɏɐ-ʯͰ-ԯԱ-ևᎠ-Ᏼ]+")
 _FORM = re.compile(f"[{FORMS}]+")
-_GONE = re.compile(f"(?<!्)[‌‍]|(?<![←-⯿〰〽㊗㊙\U0001f000-\U0001faff#*0-9])[︎️]|[{INVISIBLE.replace('​-‏', '​‎‏').replace('︀-️', '︀-︍')}]")
+_GONE = re.compile(f"(?<!्)[\u200c\u200d]|(?<![←-⯿〰〽㊗㊙\U0001f000-\U0001faff#*0-9])[\ufe0e\ufe0f]|[{INVISIBLE.replace('\u200b-\u200f', '\u200b\u200e\u200f').replace('\ufe00-\ufe0f', '\ufe00-\ufe0d')}]")
 _SPACE = re.compile(f"[{SPACES}]")
 _MARKED = re.compile(f"[^\\s{MARKS}][{MARKS}]+")
 _KATA = re.compile("[ァ-ヺー]")
@@ -143,7 +143,7 @@ def usual(value: str) -> str:
     """The value in the usual characters."""
     text = _GONE.sub("", value)
     text = _SPACE.sub(" ", text)
-    text = text.replace("゛", "゙").replace("゜", "゚") if re.search("[か-ほカ-ホウ][゛゜]", text) else text
+    text = text.replace("゛", "\u3099").replace("゜", "\u309a") if re.search("[か-ほカ-ホウ][゛゜]", text) else text
     text = _FORM.sub(lambda m: unicodedata.normalize("NFKC", m.group()), text)
     text = _MARKED.sub(lambda m: unicodedata.normalize("NFC", m.group()), text)
     return _east(_alphabetic(text.replace("ɑ", "a").replace("ɡ", "g")))

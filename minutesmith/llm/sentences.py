@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Private-use characters: a masked full stop, masked terminators, quotation marks made directional, and the cut.
-STOP, ENDMARK, OPEN, CLOSE, CUT = "", "", "", "", ""
+STOP, ENDMARK, OPEN, CLOSE, CUT = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
 
 #: Abbreviations that are followed by a name or number and so never end a sentence.
 TITLES = (

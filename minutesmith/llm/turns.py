@@ -29,7 +29,7 @@ CLOCK = r"(?:\d{1,2}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?"
 AFTER = r"[（(](?:\d+時間?)?\d+分(?:\d+秒)?[）)]"
 #: Layouts of a transcript. header: everything before the words of a segment; label: decided by the test of that name.
 TRANSCRIPT: dict[str, object] = {
-    "body": ("seq", r"(?:﻿|WEBVTT[^\n]*\n)?\s*", ("many", ("or", "<segment>", "<line>"))),
+    "body": ("seq", r"(?:\ufeff|WEBVTT[^\n]*\n)?\s*", ("many", ("or", "<segment>", "<line>"))),
     "segment": ("seq", "<header>", "<words>"),
     "header": ("or", "<cue>", "<clocked>", "<tabbed>", "<timed>", "<marked>", "<plain>"),
     "cue": ("seq", ("maybe", r"[ \t]*\d+[ \t]*\n"), r"[ \t]*", "<time>", rf"[ \t]*-->[ \t]*{CLOCK}[^\n]*\n", "<voice>"),

@@ -53,7 +53,7 @@ def test_any_text_is_examined(text):
 
 
 LOOKALIKES = [
-    ("令和５年", "令和5年"), ("がぎ", "がぎ"), ("ｶﾞｲﾄﾞ", "ガイド"), ("⽬標", "目標"), ("年度", "年度"), ("ゼロ​幅", "ゼロ幅"), ("a\xa0b", "a b"), ("Тоkі", "Toki"), ("Ѵol.2", "Vol.2"),
+    ("令和５年", "令和5年"), ("がぎ", "がぎ"), ("ｶﾞｲﾄﾞ", "ガイド"), ("⽬標", "目標"), ("年度", "年度"), ("ゼロ\u200b幅", "ゼロ幅"), ("a\xa0b", "a b"), ("Тоkі", "Toki"), ("Ѵol.2", "Vol.2"),
     ("パ―トナー", "パートナー"), ("ネッ卜ワ一ク", "ネットワーク"), ("é", "é"), ("한", "한"),
 ]
 
@@ -63,7 +63,7 @@ def test_lookalikes(odd, plain):
     assert lookalikes.usual(odd) == plain and lookalikes.usual(plain) == plain
 
 
-@pytest.mark.parametrize("same", ["Москва", "神﨑", "労働力シフト", "データ一覧", "クシャ क्‍ष", "（全角）、。", "第三回", ""])
+@pytest.mark.parametrize("same", ["Москва", "神﨑", "労働力シフト", "データ一覧", "クシャ क्\u200dष", "（全角）、。", "第三回", ""])
 def test_usual_stays(same):
     assert lookalikes.usual(same) == same
 
