@@ -109,7 +109,7 @@ def test_ordered_text(spark):
 
 
 def test_rtf():
-    assert by.rtf_text(b"{\\rtf1{\\fonttbl x}\\'93\\'fa\\u26412?\\par ok}") == "日本\nok"
+    assert by.rtf_text(b"{\\rtf1{\\fonttbl x}\\'93\\'fa\\u26412?\\par o k}") == "日本\no k"
 
 
 def test_html():
