@@ -28,7 +28,7 @@ from minutesmith.llm.lookalikes import usual
 from minutesmith.runtime import checkpoint_dir
 
 #: Share of the rarer side's weight that candidates have in common, and the score from which full spellings are one entity.
-CONTAINED, SAME = 0.3, 0.85
+CONTAINED, SAME = 0.5, 0.85
 #: Legal forms, as written before or after the name of an organisation, and short forms of kinds of organisation.
 FORMS = "株式会社|有限会社|合同会社|合資会社|一般社団法人|公益社団法人|社団法人|一般財団法人|公益財団法人|財団法人|特定非営利活動法人|NPO法人|社会福祉法人|学校法人|医療法人|宗教法人|(?:\\((?:株|有|合|一社|公社|社|一財|公財|財|特非|福|学|医|宗)\\))|㈱|㈲|カ\\)|\\(カ|\\(カ\\)|ユ\\)|トクヒ\\)"
 SHORT = (("漁協", "漁業協同組合"), ("農協", "農業協同組合"), ("森組", "森林組合"), ("総研", "総合研究所"), ("商議所", "商工会議所"), ("観連", "観光連盟"), ("建協", "建設協会"))
@@ -140,9 +140,10 @@ def parse(speaker: str, kana: str | None = None) -> Name:
 
 
 def grams(n: Name) -> list[str]:
-    """q-grams of a spelling: pairs of characters of its writing, triples of its reading, marked by what they are of."""
+    """q-grams of a spelling: pairs of characters of its writing, triples of its reading, marked by what they are of; and the whole
+    as a sorted word (m, n), which exchanged characters leave as it is."""
     if n.kind == "org":
-        return sorted({f"o{n.ks[i : i + 2]}" for i in range(max(1, len(n.ks) - 1))})
+        return sorted({f"o{n.ks[i : i + 2]}" for i in range(max(1, len(n.ks) - 1))} | {"m" + "".join(sorted(n.ks))})
     out = {f"k{n.ks}", *(f"s{c}" for c in n.ks + n.kg)} if n.ks else set()
     if n.ks and n.kg and not n.part:
         out.add("n" + "".join(sorted(n.ks + n.kg)))
@@ -307,7 +308,7 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
     token = nodes.select("grp", "node", F.explode("grams").alias("gram"))
     weight = token.groupBy("grp", "gram").agg(F.count("*").alias("df"))
     ranked = token.join(weight, ["grp", "gram"]).groupBy("grp", "node").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    prefix = ranked.select("grp", "node", F.explode(F.expr(f"slice(g, 1, size(g) - cast(ceil({CONTAINED} * size(g)) as int) + 1)")).alias("p")).select("grp", "node", "p.gram")
+    prefix = ranked.select("grp", "node", F.explode(F.expr(f"array_union(slice(g, 1, size(g) - cast(ceil({CONTAINED} * size(g)) as int) + 1), filter(g, x -> left(x.gram, 1) in ('m', 'n')))")).alias("p")).select("grp", "node", "p.gram")
     pairs = prefix.join(token.withColumnRenamed("node", "other"), ["grp", "gram"]).where("node <> other").select("grp", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     size = nodes.select("grp", F.col("ks").alias("w")).where("w <> ''").groupBy("grp", "w").agg(F.count("*").alias("df"))
     common = nodes.join(size.withColumnRenamed("w", "ks"), ["grp", "ks"], "left").select("grp", "node", fields.alias("n"), "said", F.coalesce("df", F.lit(1)).alias("df"))
