@@ -9,6 +9,7 @@ from minutesmith.functions.text import plain_digits
 
 #: Year before the first year of each era. Fixed values.
 ERAS = {"令和": 2018, "平成": 1988, "昭和": 1925, "大正": 1911, "明治": 1867, "R": 2018, "H": 1988, "S": 1925}
+#: Forms of a date. Fixed values.
 _NAMES, _KANJI = "令和|平成|昭和|大正|明治", "〇零一二三四五六七八九十"
 ERA_FORM = rf"({_NAMES}|[RHS])\s*(元|[0-9]{{1,2}})\s*年\s*([0-9]{{1,2}})\s*月\s*([0-9]{{1,2}})\s*日"
 KANJI_FORM = rf"({_NAMES})\s*(元|[{_KANJI}]{{1,4}})\s*年\s*([{_KANJI}]{{1,3}})\s*月\s*([{_KANJI}]{{1,3}})\s*日"

@@ -10,7 +10,7 @@ from minutesmith.functions.text import clean_speaker, plain_digits, strip
 SIGNS = "○◎◆◯〇●△"
 SIGNATURES = "会議録署名議員"
 _GAP = r"[　\s]"
-#: Shapes of a label, in the order in which they are tried: office and bracketed name; bracketed name alone; bare name with honorific; name, wide
+#: Shapes of a label, in the order in which they are tried: office and bracketed name; bracketed name alone; bare name with honorific; name, wide
 #: space, office. Groups: name, office.
 SHAPES = (
     (rf"(?U)^[{SIGNS}]([^（）　\s]{{1,60}}?)（([^（）]{{1,60}})）", 2, 1),

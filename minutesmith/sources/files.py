@@ -75,16 +75,16 @@ def cache_rows(pages: DataFrame, final_url: str = "final_url") -> DataFrame:
     return pages.withColumn("key", F.explode(keys))
 
 
-def site_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """(site, scraper, prefecture, start_urls) of the TOML files of a folder; names that begin with _ are templates. Unknown scrapers fail."""
-    known = {"generic", "ssp", "kensakusystem", "voices", "dbsearch", "iwate", "tottori"}
+def site_rules(spark: SparkSession, folder: str, kinds: set[str] | None = None) -> DataFrame:
+    """(site, scraper, prefecture, start_urls) of the TOML files of a folder; names that begin with _ are templates. A scraper that is not one of
+    `kinds`, where they are given, fails."""
     rows = []
     for path in sorted(Path(folder).glob("*.toml")):
         if path.name.startswith("_"):
             continue
         rules = tomllib.loads(path.read_text(encoding="utf-8"))
         scraper = rules.get("scraper", "generic")
-        if scraper not in known:
+        if kinds is not None and scraper not in kinds:
             raise ValueError(f"{path.name}: unknown scraper {scraper!r}")
         rows.append((path.stem, scraper, rules.get("prefecture", ""), [str(u) for u in rules.get("start_urls", [])]))
     if not rows:

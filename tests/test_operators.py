@@ -277,3 +277,12 @@ def test_windows_as_a_stream(spark, tmp_path):
     query = counted.writeStream.format("memory").queryName("counted").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert [(r["kind"], r["n"], r["total"]) for r in spark.sql("select * from counted").collect()] == [("a", 2, 3.0)]
+
+
+def test_site_rules(spark, tmp_path):
+    (tmp_path / "_template.toml").write_text("scraper = 1", encoding="utf-8")
+    (tmp_path / "a.toml").write_text('prefecture = "甲県"\nstart_urls = ["https://a.example/"]', encoding="utf-8")
+    (tmp_path / "b.toml").write_text('scraper = "other"', encoding="utf-8")
+    assert [(r["site"], r["scraper"], r["start_urls"]) for r in files.site_rules(spark, str(tmp_path)).collect()] == [("a", "generic", ["https://a.example/"]), ("b", "other", [])]
+    with pytest.raises(ValueError):
+        files.site_rules(spark, str(tmp_path), {"generic"})
