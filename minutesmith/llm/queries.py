@@ -28,11 +28,12 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
-    # A redelivered meeting repeats its rows under the same id, so ids in meetings need no list of their own here.
     speeches = table(spark, root, "speeches").select("meeting_id", "speech_id", "speech_order", "text")
+    docs = nearcopies.assemble(speeches, "meeting_id", "speech_id", "speech_order", "text")
+    pairs = nearcopies.similar_pairs(docs).select(F.col("a").alias("meeting_a"), F.col("b").alias("meeting_b"))
+    # Only records of meetings; asked of the pairs, for there are far fewer of them than of texts.
     known = table(spark, root, "meetings").select("meeting_id").distinct()
-    docs = nearcopies.assemble(speeches, "meeting_id", "speech_id", "speech_order", "text").join(known.withColumnRenamed("meeting_id", "doc"), "doc", "left_semi")
-    return nearcopies.similar_pairs(docs).select(F.col("a").alias("meeting_a"), F.col("b").alias("meeting_b"))
+    return pairs.join(known.withColumnRenamed("meeting_id", "meeting_a"), "meeting_a", "left_semi").join(known.withColumnRenamed("meeting_id", "meeting_b"), "meeting_b", "left_semi")
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
