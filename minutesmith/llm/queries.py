@@ -33,7 +33,7 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     pairs = nearcopies.similar_pairs(docs).select(F.col("a").alias("meeting_a"), F.col("b").alias("meeting_b"))
     # Only records of meetings; asked of the pairs, for there are far fewer of them than of texts.
     known = table(spark, root, "meetings").select("meeting_id").distinct()
-    return pairs.join(known.withColumnRenamed("meeting_id", "meeting_a"), "meeting_a", "left_semi").join(known.withColumnRenamed("meeting_id", "meeting_b"), "meeting_b", "left_semi")
+    return pairs.join(known.withColumnRenamed("meeting_id", "meeting_a"), "meeting_a", "left_semi").join(known.withColumnRenamed("meeting_id", "meeting_b"), "meeting_b", "left_semi").select("meeting_a", "meeting_b")
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
