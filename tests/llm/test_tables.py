@@ -34,6 +34,45 @@ def test_near_copies(spark):
     assert sure <= found and len(found) >= 0.9 * len(wanted)
 
 
+def _against_all(spark, texts):
+    """Pairs found and pairs wanted, by a comparison of all texts with all."""
+    docs = nearcopies.assemble(spark.createDataFrame([(i, "a", 0, t) for i, t in enumerate(texts)], "m bigint, s string, o int, t string"), "m", "s", "o", "t")
+    grams = [{t[k : k + 5] for k in range(len(t) - 4)} for t in texts]
+    wanted = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if 2 * len(grams[a] & grams[b]) >= len(grams[a] | grams[b])}
+    return {(r["a"], r["b"]) for r in nearcopies.similar_pairs(docs).collect()}, wanted
+
+
+@pytest.mark.parametrize("size", [25, 60, 200])
+def test_near_copies_in_families(spark, size):
+    random.seed(size)
+    texts = ["".join(chr(random.randrange(0x4E00, 0x5E00)) for _ in range(900))]
+    while len(texts) < size:  # copies of copies
+        copy = list(random.choice(texts[: max(1, size // 3)]))
+        for _ in range(len(copy) // random.choice([40, 60, 80])):
+            copy[random.randrange(len(copy))] = chr(random.randrange(0x6000, 0x7000))
+        texts.append("".join(copy))
+    found, wanted = _against_all(spark, texts)
+    assert len(wanted) > size and found <= wanted and len(found) >= 0.999 * len(wanted)
+
+
+def test_near_copies_with_common_runs(spark):
+    # Sub-families: no run that two of them share is in few texts, and each has runs of its own.
+    random.seed(3)
+    text = [chr(random.randrange(0x4E00, 0x5E00)) for _ in range(900)]
+    texts = []
+    for _ in range(3):
+        branch = list(text)
+        for k in random.sample(range(900), 24):
+            branch[k] = chr(random.randrange(0x6000, 0x7000))
+        for _ in range(25):
+            copy = list(branch)
+            for k in random.sample(range(900), 8):
+                copy[k] = chr(random.randrange(0x6000, 0x7000))
+            texts.append("".join(copy))
+    found, wanted = _against_all(spark, texts)
+    assert found == wanted and len(wanted) > 2700
+
+
 def test_near_copies_of_nothing(spark):
     docs = nearcopies.assemble(spark.createDataFrame([], "m bigint, s string, o int, t string"), "m", "s", "o", "t")
     assert nearcopies.similar_pairs(docs).collect() == []
