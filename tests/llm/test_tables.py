@@ -73,6 +73,17 @@ def test_near_copies_with_common_runs(spark):
     assert found == wanted and len(wanted) > 2700
 
 
+def test_near_copies_at_the_bound(spark):
+    # An edit every 15 characters in every other of two texts: similarity 0.5, and a third of the ten-character runs is left.
+    random.seed(5)
+    texts = []
+    for _ in range(150):
+        text = [chr(random.randrange(0x4E00, 0x5E00)) for _ in range(1500)]
+        texts += ["".join(text), "".join("〓" if k % 15 == 7 and k > 15 else c for k, c in enumerate(text))]
+    found, wanted = _against_all(spark, texts)
+    assert len(wanted) >= 100 and found <= wanted and len(found) >= 0.97 * len(wanted)
+
+
 def test_near_copies_of_nothing(spark):
     docs = nearcopies.assemble(spark.createDataFrame([], "m bigint, s string, o int, t string"), "m", "s", "o", "t")
     assert nearcopies.similar_pairs(docs).collect() == []
