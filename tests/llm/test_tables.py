@@ -84,6 +84,14 @@ def test_near_copies_at_the_bound(spark):
     assert len(wanted) >= 100 and found <= wanted and len(found) >= 0.97 * len(wanted)
 
 
+def test_near_copies_of_short_texts(spark):
+    pairs = [("甲乙丙丁戊己庚辛壬癸子丑", "甲乙丙丁戊己庚辛壬癸子寅"), ("春夏秋冬東西南北上下左右前後内外大小高低", "春夏秋冬東西南北上下左右前後内外大小高底"), ("一二三四五六七八九", "一二三四五六七八九十"), ("山川草木花", "山川草木花"), ("犬猫牛馬鳥", "犬猫牛馬鳥魚")]
+    long = "".join(chr(0x5000 + k) for k in range(100))
+    pairs += [(long[:59], long[:61]), (long[:50], long[:95]), (long[:60], long[1:])]
+    found, wanted = _against_all(spark, [t for pair in pairs for t in pair])
+    assert found == wanted and {(2 * k, 2 * k + 1) for k in range(7)} <= wanted
+
+
 def test_near_copies_of_nothing(spark):
     docs = nearcopies.assemble(spark.createDataFrame([], "m bigint, s string, o int, t string"), "m", "s", "o", "t")
     assert nearcopies.similar_pairs(docs).collect() == []
