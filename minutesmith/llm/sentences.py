@@ -27,8 +27,8 @@ TITLES = (
 NUMBERED = ("No", "Nos", "Nr", "no", "n", "nº", "p", "pp", "P", "PP", "art", "Art", "cap", "Cap", "pág", "par", "págs", "fl", "fls")
 
 BRACKETS = (("「", "」"), ("『", "』"), ("（", "）"), (r"\(", r"\)"), ("“", "”"), ("【", "】"), ("〈", "〉"), ("《", "》"), ("〔", "〕"), ("‘", "’"), ("«", "»"), (OPEN, CLOSE))
-#: Longest distance looked back from a terminator for the bracket that holds it.
-REACH = 600
+#: Terminators that are masked inside brackets and quotations.
+STOPS = "。｡．！？!?।."
 
 ENDS = r"[。｡．！？!?।॥؟۔…‥]"
 CLOSERS = rf"[」』）)”’»】〉》〕\]{CLOSE}]"
@@ -46,7 +46,7 @@ MARKER = r"(?:・|[(（][0-9０-９]{1,3}[)）]|[①-⑳]|[0-9０-９]{1,3}[)）
 def mask(text: Column) -> Column:
     """text with every terminator that ends no sentence replaced, character by character."""
     names, numbered = "|".join(TITLES), "|".join(NUMBERED)
-    m = F.regexp_replace(text, r'"([^"]{0,2000})"', f"{OPEN}$1{CLOSE}")
+    m = F.regexp_replace(text, r'"([^"]*+)"', f"{OPEN}$1{CLOSE}")
     m = F.regexp_replace(m, r"(?<=[0-9０-９])[.．](?=\n?[0-9０-９])", STOP)
     m = F.regexp_replace(m, r"[.?!](?<=(?:https?://|www\.)[^\s　、。「」（）]{0,300}[.?!])(?=[A-Za-z0-9/_%&=-])", STOP)
     m = F.regexp_replace(m, r"(?<=[A-Za-z0-9_-])\.(?=[a-z0-9_-]{2,}[.@/])|(?<=@[A-Za-z0-9-]{1,60})\.(?=[A-Za-z])", STOP)
@@ -55,8 +55,8 @@ def mask(text: Column) -> Column:
     m = F.regexp_replace(m, rf"(?<![\p{{L}}\p{{M}}])({names})\.(?=\s|[0-9])", f"$1{STOP}")
     m = F.regexp_replace(m, rf"(?<![\p{{L}}\p{{M}}])({numbered})\.(?=\s?[0-9])", f"$1{STOP}")
     for opening, closing in BRACKETS:
-        inside = rf"[^{opening}{closing}]"
-        m = F.regexp_replace(m, rf"(?s)[。｡．！？!?।.](?<={opening}{inside}{{0,{REACH}}}.)(?={inside}{{0,{REACH}}}{closing})", ENDMARK)
+        # From an opening mark whose closing mark follows, however far, or from the last terminator masked behind it, to the next terminator.
+        m = F.regexp_replace(m, rf"((?:{opening}(?=[^{opening}{closing}]*+{closing})|\G(?!^))[^{opening}{closing}{STOPS}]*+)[{STOPS}]", f"$1{ENDMARK}")
     return m
 
 

@@ -35,6 +35,13 @@ def test_cases(spark, marked):
     assert cut(spark, marked.replace("|", "")) == [wanted]
 
 
+@pytest.mark.parametrize(("opening", "closing"), [("「", "」"), ("（", "）"), ("(", ")"), ("“", "”"), ('"', '"')])
+def test_long_brackets(spark, opening, closing):
+    letter = opening + "道路を直してください。もう待てません。" * 300 + closing
+    texts = [f"手紙を読みます。|{letter}という手紙です。|次に移ります。", f"開きます。|「短い。」と言う。|{letter}、以上です。|終わり", f"閉じない{opening if opening != '"' else '「'}括弧です。|次です。"]
+    assert cut(spark, *(x.replace("|", "") for x in texts)) == [x.split("|") for x in texts]
+
+
 def test_empty_null_long_and_repeated(spark):
     long = "これは長い文です。" * 3000
     found = cut(spark, None, "", " \n　", long, "終わり", "終わり")
