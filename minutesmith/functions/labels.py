@@ -91,8 +91,10 @@ def from_first_label(block: Column) -> Column:
 def without_echo(body: Column, title: Column) -> Column:
     """A body without the label line that repeats its title; every other body keeps each character but the tags around it."""
     plain = strip(F.regexp_replace(body, "(?i)</?pre>", ""))
-    head = F.regexp_replace(plain, f"^[{SIGNS}]+", "")
-    own = strip(title)
+    # The title may itself begin with a sign or white space.
+    lead = rf"(?U)^[{SIGNS}\s]+"
+    head = F.regexp_replace(plain, lead, "")
+    own = strip(F.regexp_replace(title, lead, ""))
     return F.when((own != "") & F.startswith(head, own), strip(F.substring(head, F.length(own) + 1, F.length(head)))).otherwise(plain)
 
 

@@ -222,12 +222,26 @@ def marker_spans(s: SparkSession, d: str) -> DataFrame:
     return found.select("speech_id", "order", "speaker", "role", "text", "kind")
 
 
+def marker_spans_whole(s: SparkSession, d: str) -> DataFrame:
+    """Every speech with its text under its marker, split again; a speech whose marker no pattern fits is one row of NULLs."""
+    body = F.concat(F.lit("前書き\n○"), F.coalesce("role", F.lit("")), F.lit("（"), F.coalesce("speaker", F.lit("")), F.lit("君）　"), F.coalesce("text", F.lit("")))
+    found = _speeches(s, d, "speaker", "role", "text").select("speech_id", F.inline_outer(patterns.split_speeches(body, r"(?m)^○(?P<role_a>[^（\n]*)（(?P<speaker_a>[^）\n]+?)君）\s*")))
+    return found.select("speech_id", "order", "speaker", "role", "text", "kind")
+
+
 def numbered_blocks(s: SparkSession, d: str) -> DataFrame:
     lines = F.array_join(F.transform(F.col("names"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x)), "\n")
     own = _speeches(s, d, "meeting_id", "speaker").where(F.col("speaker").rlike("^[一-龥]+$")).select("meeting_id", "speaker").distinct().groupBy("meeting_id").agg(F.sort_array(F.collect_list("speaker")).alias("names"))
     return own.select("meeting_id", F.inline(patterns.split_blocks(lines))).select("meeting_id", "number", "body")
 
 
+def numbered_blocks_whole(s: SparkSession, d: str) -> DataFrame:
+    """The names of every meeting as numbered lines, in whatever script they are, read back; names lose the white space at their ends."""
+    lines = F.array_join(F.transform(F.col("names"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x)), "\n")
+    own = _speeches(s, d, "meeting_id", "speaker").groupBy("meeting_id").agg(F.sort_array(F.collect_set("speaker")).alias("names"))
+    return own.select("meeting_id", F.inline(patterns.split_blocks(lines))).select("meeting_id", "number", "body")
+
+
 def limited(s: SparkSession, d: str) -> DataFrame:
     return _meetings(s, d, "meeting_date").where(dates.in_range(F.col("meeting_date"), "2022-01-01", None)).orderBy("meeting_id").limit(25).select("meeting_id")
 
@@ -272,6 +286,11 @@ def plain_speakers(s: SparkSession, d: str) -> DataFrame:
     return own.select("speech_id", plain.alias("speaker"))
 
 
+def plain_speakers_whole(s: SparkSession, d: str) -> DataFrame:
+    """The speaker of every speech in today's characters without plain and ideographic spaces; other characters stay."""
+    return _speeches(s, d, "speaker").select("speech_id", F.regexp_replace(text.modern_forms(F.col("speaker")), "[ 　]", "").alias("speaker"))
+
+
 def name_collisions(s: SparkSession, d: str) -> DataFrame:
     """Spellings that differ by spaces, width or old forms only, over every name."""
     return audit.name_collisions(_speeches(s, d, "speaker"), "speaker")
@@ -324,7 +343,10 @@ def title_split(s: SparkSession, d: str) -> DataFrame:
     index = table(s, d, "speaker_index").where("speaker <> ''")
     offices = table(s, d, "canon_values").where("field = 'role'").select(F.col("name").alias("office"))
     bare = F.regexp_replace("speaker", "[ 　]", "")
-    names = index.where(F.col("speaker").rlike("^[一-龥]{2}[ 　]?[一-龥]{2}$")).select("council_id", bare.alias("name")).join(offices.select(F.col("office").alias("name")), "name", "left_anti")
+    # Known names are all that end in no office, in whatever script and length.
+    spelled = index.select("council_id", bare.alias("name")).where("name <> ''").distinct()
+    ends = spelled.select("name").distinct().select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("k")).select("name", F.expr("substring(name, k)").alias("office"))
+    names = spelled.join(ends.join(offices, "office", "left_semi").select("name"), "name", "left_anti").select("council_id", "name")
     held = index.where("role is not null").select("council_id", bare.alias("name"), F.col("role").alias("office")).join(offices, "office", "left_semi")
     return titles.decide_titles(index.select("council_id", bare.alias("title")), names, held, offices, "council_id")
 
@@ -436,6 +458,14 @@ def labels_read(s: SparkSession, d: str) -> DataFrame:
     return labels.with_label(own.select("speech_id", line.alias("line")), "line", "l").select("speech_id", "l.speaker", "l.role", F.regexp_replace("l.rest", "　", "").alias("rest"))
 
 
+def labels_read_whole(s: SparkSession, d: str) -> DataFrame:
+    """The first line of every speech behind its label, in every shape, read back; where no shape fits or what fits is no name, speaker is '' and rest the whole line."""
+    speaker, role, said = F.coalesce("speaker", F.lit("")), F.coalesce("role", F.lit("")), F.coalesce(F.split("text", "\n")[0], F.lit(""))
+    shape = F.pmod("speech_id", F.lit(3))
+    line = F.when(shape == 0, F.concat(F.lit("○"), role, F.lit("（"), speaker, F.lit("君）　"), said)).when(shape == 1, F.concat(F.lit("◆"), speaker, F.lit("議員　"), said)).otherwise(F.concat(F.lit("◎"), speaker, F.lit("　"), role, F.lit("　"), said))
+    return labels.with_label(_speeches(s, d, "speaker", "role", "text").select("speech_id", line.alias("line")), "line", "l").select("speech_id", "l.speaker", "l.role", "l.rest")
+
+
 def resolved_dates(s: SparkSession, d: str) -> DataFrame:
     listed = corpus.latest(table(s, d, "listing").where("url is not null").select("url", "listed_at", "meeting_date"), "url", "listed_at").select("url", F.col("meeting_date").alias("listed"))
     own = _meetings(s, d, "url", "meeting_date").join(listed, "url", "left").select(labels.resolved_date(F.col("listed"), F.col("meeting_date")).alias("r"))
@@ -449,6 +479,13 @@ def echoes_removed(s: SparkSession, d: str) -> DataFrame:
     return own.select("speech_id", text.text_digest(labels.without_echo(body, title)).alias("digest"))
 
 
+def echoes_removed_whole(s: SparkSession, d: str) -> DataFrame:
+    """The text of every speech behind an echo of its label, without it; white space at its ends goes."""
+    title = F.concat(F.coalesce("role", F.lit("")), F.lit("（"), F.coalesce("speaker", F.lit("")), F.lit("君）"))
+    body = F.concat(F.lit("<pre>◆"), title, F.lit("　"), F.coalesce("text", F.lit("")), F.lit("</pre>"))
+    return _speeches(s, d, "speaker", "role", "text").select("speech_id", text.text_digest(labels.without_echo(body, title)).alias("digest"))
+
+
 def catalogue(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "sites").groupBy("scraper").agg(F.count("*").alias("sites"), F.count("start_url").alias("with_start"))
 
@@ -500,5 +537,5 @@ ALL: tuple[Query, ...] = (
     dedupe_text, session_dates, file_dates, session_months, plain_speakers, name_collisions, swallowed_markers, odd_speakers, office_suffixes, committee_lengths, quality_counts, duplicate_urls, url_shapes,
     url_hosts, slugs, title_split, fetch_window, throttle, retries, hourly_events, event_sessions, incremental_append, url_walk, list_pages, packed_requests, order_revenue, listed_kinds, sessions_of_titles,
     transcript_sections, rosters, indented_speeches, unwrapped_documents, labels_read, resolved_dates, echoes_removed, catalogue, new_on_second_page, hinted_links, next_openings, notices, exemptions,
-    daily_rollup, ranked_customers,
+    daily_rollup, ranked_customers, marker_spans_whole, numbered_blocks_whole, plain_speakers_whole, labels_read_whole, echoes_removed_whole,
 )
