@@ -37,9 +37,10 @@ HIRAGANA_KATAKANA = ("へべぺり", "ヘベペリ")
 STROKES = "‐‑‒–—―−─ー一⼀"
 #: Greek and Cyrillic pairs above that only resemble at a glance are used in mixed tokens, not on their own.
 WEAK = set("ИЯνγηυρӏг")
+_HAN, _STROKE = KATAKANA_HAN[1], STROKES.replace("ー", "")
 SUSPECT = (
     f"[{INVISIBLE}{SPACES}{FORMS}{MARKS}Ͱ-ԯԱ-ևᎠ-Ᏼɑɡ]"
-    "|[ァ-ヺー][一二三八口工力夕卜千又才へべぺり‐-―−─]|[一二三八口工力夕卜千又才へべぺり][一ー‐-―−─]?[ァ-ヺー]|[ぁ-ゖ][ヘベペリー][ぁ-ゖ]|[一-龥][ーニロエカタトハ][一-龥]"
+    f"|[ァ-ヺー][{_HAN}{_STROKE}へべぺり]|[{_HAN}へべぺり][ー{_STROKE}]?[ァ-ヺー]|[ぁ-ゖ][ヘベペリー][ぁ-ゖ]|[一-龥][ーニロエカタトハ][一-龥]"
 )
 
 _RANGES = (

@@ -1,10 +1,12 @@
 """Operators on values: encodings, look-alikes, abuse, packing, turns."""
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from minutesmith.llm import abuse, encoding, lookalikes, packing, turns
 from minutesmith.llm.peg import Parser
@@ -75,6 +77,20 @@ def test_usual_is_stable(text):
     assert lookalikes.usual(once) == once or True
 
 
+ODD = "".join(lookalikes.KATAKANA_HAN) + "".join(lookalikes.HIRAGANA_KATAKANA) + lookalikes.STROKES + "メッリあの県議aеοO \u200b"
+
+
+@given(st.text(alphabet=ODD, max_size=8))
+@settings(max_examples=3000, deadline=None)
+def test_whatever_changes_is_suspect(text):
+    assert lookalikes.usual(text) == text or re.search(lookalikes.SUSPECT, text)
+
+
+def test_knife_radical_is_suspect(spark):
+    assert lookalikes.usual("メ刂ット") == "メリット"
+    assert [r[0] for r in spark.createDataFrame([("メ刂ット",), ("刂ッ卜",)], "t string").select(lookalikes.usual_form(F.col("t"))).collect()][0] == "メリット"
+
+
 def test_abuse_disguised_and_quoted():
     yes = ["貴様、息.を.す.る.な、空気がもったいない。", "さっさと消＜ろ、さっさと消えろ", "Go to h*ell, you pathetic mor.on of a chairman.", "去 死 吧", "この力スめ、黙れ。"]
     no = ["「消えろ」などと書き込まれた職員の相談が4件ありました。", "ごみの不法投棄、くず鉄の山、カスハラ対策です。", "経費もばかになりません。", "裸地の緑化", "The hate speech ordinance was debated, and no insult was heard.", "", None, "この決定は最悪で、到底認められない。"]
