@@ -1,144 +1,116 @@
-"""Freely typed values mapped to the closest entry of a reference list.
+"""Freely typed values mapped to the closest entry of a reference list, of any language.
 
-Method: token-level repair. Entries are cut into tokens (TOKENS, longest first, other text by twos); every piece of every
-distinct typed value is joined to the reference vocabulary by edit distance (an equi-join on deletion variants, then a check), also by
-reading and by English gloss; the repaired tokens of a value are combined with soft TF-IDF into a score for every entry
-that shares a telling token, and the best entry is taken if it is good enough and better than the second.
+Method: token-level repair. The tokens are learnt from the reference list itself: words where the script has them, else the cut of each
+name into the substrings that recur in it. Every distinct piece of the typed values is joined to this vocabulary by edit distance (an
+equi-join on deletion variants of both sides, then a check), and to the beginnings of tokens for abbreviations; a token may have more
+spellings (its reading, its English word) from optional tables. The repaired tokens of a value are combined with soft TF-IDF into a
+score for every entry, and the best entry is taken if it is good enough and better than the second.
 
-Scale: everything runs on distinct values. The vocabulary and the entries are joined by key, not broadcast by us. Tokens
-that more than COMMON of the entries hold never generate candidates, except for entries that hold nothing else.
+Scale: everything runs on distinct values; vocabulary, spellings and entries are joined by key, and nothing is broadcast by us. An entry
+is found through its rarest tokens only: those without which its score cannot reach ACCEPT, so no entry that could be accepted is lost.
 
 Results that are defined: a NULL value gives no row; an empty value or one of signs only is unmatched (-1); a value equal to
 an entry is mapped to it; a tie is unmatched; repeated values get the same answer; a reference list without entries leaves
-everything unmatched; extra columns are not carried.
+everything unmatched; NULL names are no entries; extra columns are not carried; values of any length are read whole.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from collections.abc import Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minutesmith.llm.japanese import HIRAGANA, MODERN
+from minutesmith.runtime import keep
 
-#: Tokens of office and committee names with their reading and English gloss. A parameter of the operator.
-TOKENS = {
-    "議長": ("ぎちょう", "chair speaker president assembly"), "副": ("ふく", "vice deputy"), "委員": ("いいん", "member commissioner"),
-    "長": ("ちょう", "chair head chief"), "議員": ("ぎいん", "councillor assemblyman assemblymember"), "知事": ("ちじ", "governor"),
-    "教育": ("きょういく", "education"), "警察": ("けいさつ", "police"), "本部": ("ほんぶ", "headquarters"), "総務": ("そうむ", "general affairs"),
-    "部長": ("ぶちょう", "department director"), "課長": ("かちょう", "division section manager"), "局長": ("きょくちょう", "bureau"),
-    "企画": ("きかく", "planning"), "財政": ("ざいせい", "finance fiscal"), "人事": ("じんじ", "personnel"), "健康": ("けんこう", "health"),
-    "福祉": ("ふくし", "welfare"), "医療": ("いりょう", "medical"), "政策": ("せいさく", "policy"), "農林": ("のうりん", "agriculture forestry"),
-    "水産": ("すいさん", "fisheries"), "県土": ("けんど", "land"), "整備": ("せいび", "development"), "道路": ("どうろ", "road roads"),
-    "河川": ("かせん", "river rivers"), "港湾": ("こうわん", "port ports harbour"), "商工": ("しょうこう", "commerce industry"),
-    "労働": ("ろうどう", "labour labor"), "観光": ("かんこう", "tourism"), "環境": ("かんきょう", "environment"), "危機": ("きき", "crisis emergency"),
-    "管理": ("かんり", "management"), "監": ("かん", "superintendent"), "会計": ("かいけい", "accounting treasurer"), "者": ("しゃ", "officer"),
-    "監査": ("かんさ", "audit auditor"), "選挙": ("せんきょ", "election"), "公安": ("こうあん", "safety"), "議会": ("ぎかい", "assembly"),
-    "事務": ("じむ", "secretariat office"), "参考": ("さんこう", "witness"), "人": ("にん", "person"), "公述": ("こうじゅつ", "hearing public"),
-    "秘書": ("ひしょ", "secretary"), "広報": ("こうほう", "relations"), "税務": ("ぜいむ", "tax"), "用地": ("ようち", "site acquisition"),
-    "住宅": ("じゅうたく", "housing"), "文化": ("ぶんか", "culture cultural"), "振興": ("しんこう", "promotion"), "スポーツ": ("すぽーつ", "sports"),
-    "国際": ("こくさい", "international"), "情報": ("じょうほう", "information"), "企業": ("きぎょう", "enterprise enterprises"),
-    "病院": ("びょういん", "hospital hospitals"), "子育て": ("こそだて", "childcare child childrearing"), "支援": ("しえん", "support"),
-    "委員会": ("いいんかい", "committee cttee"), "文教": ("ぶんきょう", "education"), "厚生": ("こうせい", "health"), "生活": ("せいかつ", "life living"),
-    "建設": ("けんせつ", "construction"), "運営": ("うんえい", "steering"), "地域": ("ちいき", "regional community"), "交流": ("こうりゅう", "exchange"),
-    "交通": ("こうつう", "transport transportation"), "介護": ("かいご", "nursing care"), "広聴": ("こうちょう", "hearing"), "公営": ("こうえい", "public"),
-    "産業": ("さんぎょう", "industrial industry"), "人材": ("じんざい", "talent workforce"), "農政": ("のうせい", "agriculture"), "林務": ("りんむ", "forestry"),
-    "特別": ("とくべつ", "special"), "予算": ("よさん", "budget"), "決算": ("けっさん", "accounts settlement"), "改革": ("かいかく", "reform"),
-    "人口": ("じんこう", "population"), "減少": ("げんしょう", "decline"), "対策": ("たいさく", "measures countermeasures"), "災害": ("さいがい", "disaster"),
-    "水源": ("すいげん", "water"), "保全": ("ほぜん", "conservation"), "離島": ("りとう", "islands island remote"), "化": ("か", ""), "推進": ("すいしん", "promotion"),
-    "空港": ("くうこう", "airport"), "利活用": ("りかつよう", "utilization use"), "海洋": ("かいよう", "marine ocean"), "資源": ("しげん", "resources"),
-    "鳥獣": ("ちょうじゅう", "wildlife"), "被害": ("ひがい", "damage"), "公共": ("こうきょう", "public"), "施設": ("しせつ", "facilities"),
-    "再編": ("さいへん", "reorganization"), "男女": ("だんじょ", "gender"), "共同": ("きょうどう", "equal"), "参画": ("さんかく", "participation"),
-    "移住": ("いじゅう", "migration"), "定住": ("ていじゅう", "settlement"), "促進": ("そくしん", "promotion"), "防災": ("ぼうさい", "disaster"),
-    "拠点": ("きょてん", "base"), "地方": ("ちほう", "local"), "分権": ("ぶんけん", "decentralization"), "再生": ("さいせい", "renewable"), "可能": ("かのう", "renewable"),
-}
-#: Words around a value that name nothing: prefixes of the body, forms of address, notes of the sitting.
+#: Words around a value that name nothing: the body, forms of address, notes of the sitting. A parameter of the operator.
 NOISE = (
     "教育委員会", "県議会", "当委員会", "本県", "当県", "御中", "再任", "当時", "出席", "欠席", "招致", "速報版", "確定版", "閉会中", "開会中", "代理", "代行",
     "出納", "様", "殿", "氏", "君", "代", "分", "職", "県", "元", "前", "兼",
 )
 NOTE = re.compile(r"第?\d+(?:回|日目|号)|\d+")
-GLOSS_STOPS = {"of", "and", "the", "for", "to", "on", "in"}
-LONGEST = 8  # characters of a piece; readings are at most as long
-COMMON = 0.2
-ACCEPT = 0.33
-MARGIN = 0.02
+STOPS = {"of", "and", "the", "for", "to", "on", "in"}
+ACCEPT = 0.33  # least score
+MARGIN = 0.02  # by which the best entry must be better
+_RUN = re.compile(r"[一-鿿々]+|[ァ-ヺー]+|[ぁ-ゖ]+|[^\W\d_一-鿿々ァ-ヺーぁ-ゖ]+|\d+")
 
 
 def fold(value: str) -> str:
-    """Today's characters, NFKC, lower case, notes taken off, only letters and digits kept."""
+    """Today's characters, NFKC, lower case, notes taken off; words where there are any, else letters and digits only."""
     text = unicodedata.normalize("NFKC", value).translate(MODERN).lower()
     text = NOTE.sub("", text)
-    if re.search(r"[a-z]{3}", text) and not re.search(r"[぀-鿿]", text):
-        return " ".join(w for w in re.findall(r"[a-z]+", text) if w not in GLOSS_STOPS)
+    if re.search(r"[^\W\d_]{3}", text) and not re.search(r"[぀-ヿ㐀-鿿]", text):
+        marks = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+        return " ".join(w for w in re.findall(r"[^\W_]+", unicodedata.normalize("NFC", marks)) if w not in STOPS)
     plain = "".join(c for c in text if unicodedata.category(c)[0] in "LN")
     body = next((w for w in NOISE if len(w) > 4 and plain.startswith(w) and len(plain) > len(w) + 1), "")
     return plain[len(body) :]
 
 
-def tokens_of(name: str, lexicon: tuple[str, ...]) -> list[str]:
-    """Tokens of an entry: the longest of the lexicon at each place, other text by twos."""
-    found: list[str] = []
-    at, rest = 0, ""
-    while at <= len(name):
-        hit = next((w for w in lexicon if name.startswith(w, at)), "") if at < len(name) else ""
-        if (hit or at == len(name)) and rest:
-            found += [rest[i : i + 2] for i in range(0, len(rest), 2)]
-            rest = ""
-        if hit:
-            found.append(hit)
-            at += len(hit)
-        else:
-            rest += name[at : at + 1]
-            at += 1
-    return found
-
-
-def one_edit(a: str, b: str) -> str:
-    """'' if a and b are not one insertion, deletion, substitution or swap apart, else which it is."""
-    if a == b:
-        return "same"
-    if len(a) == len(b):
-        at = [i for i in range(len(a)) if a[i] != b[i]]
-        if len(at) == 1:
-            return "other"
-        return "swap" if len(at) == 2 and at[1] == at[0] + 1 and a[at[0]] == b[at[1]] and a[at[1]] == b[at[0]] else ""
-    if abs(len(a) - len(b)) != 1:
-        return ""
-    long, short = (a, b) if len(a) > len(b) else (b, a)
-    return "more" if any(long[:i] + long[i + 1 :] == short for i in range(len(long))) else ""
-
-
-def likeness(piece: str, token: str) -> float:
-    """How much of the token the piece states, from 0 to 1."""
-    kind = one_edit(piece, token)
-    if not kind and len(piece) == 1 and len(token) == 3 and token.startswith(piece):
-        return 0.4  # an initial
-    if not kind and len(token) > 3 and len(piece) > 1 and token.startswith(piece):
-        return 0.9 * len(piece) / len(token)
-    if kind == "same":
-        return 1.0
-    if kind == "swap":
-        return 0.85
-    if kind == "more" and len(piece) > len(token):
-        return 0.8
-    return (1 - 1 / len(token)) * (1.0 if kind == "more" else 1.1) if kind and len(token) > 1 else 0.0
-
-
-def cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[tuple[str, float]]) -> float:
+def worded(value: str) -> bool:
+    """Whether a folded value is written in words that spaces part."""
+    return not re.search(r"[぀-ヿ㐀-鿿]", value)
+
+
+def tokens_of(name: str, entries: Mapping[str, int]) -> list[str]:
+    """Tokens of a folded entry: its words; or the cheapest cut into pieces, which cost less the more entries hold them.
+
+    entries: how many entries hold each substring of the name, negative for those that are an entry themselves."""
+    if worded(name):
+        return name.split()
+
+    def cost(i: int, j: int) -> float:
+        piece = name[i:j]
+        held = entries.get(piece, 1)
+        n, size = abs(held), j - i
+        kinds = [m.group() for m in _RUN.finditer(piece)]
+        if len(kinds) == 1 and re.fullmatch("[ァ-ヺー]+|[^\\W\\d_一-鿿々ぁ-ゖ]+", piece):
+            cuts_word = (i and _RUN.fullmatch(name[i - 1] + piece)) or (j < len(name) and _RUN.fullmatch(piece + name[j]))
+            return 3.0 * size if cuts_word else 1.0
+        own = 0.5 if held < 0 and size > 1 and piece != name else 0.0
+        if size == 1:
+            return 1.2 if i == 0 or j == len(name) else 1.6
+        if size == 2:
+            return 1.0 - 0.12 * math.log(n) - own
+        return (1.45 + 0.45 * (size - 3) - 0.2 * math.log(n) if n >= 3 else 1.7 + 0.9 * (size - 3)) - own
+
+    best: list[tuple[float, int]] = [(0.0, 0)]
+    for j in range(1, len(name) + 1):
+        best.append(min((best[i][0] + cost(i, j), i) for i in range(j)))
+    out, j = [], len(name)
+    while j:
+        out.append(name[best[j][1] : j])
+        j = best[j][1]
+    return out[::-1]
+
+
+def readings_of(token: str, kanji: Mapping[str, str], others: Mapping[str, str]) -> list[str]:
+    """Readings of a token in hiragana, character by character; none if a character has none."""
+    found = []
+    for table in (kanji, {**kanji, **others}):
+        parts = [table.get(c, c if "ぁ" <= c <= "ゖ" or c == "ー" else "") for c in token.translate(HIRAGANA)]
+        if all(parts):
+            text = "".join(parts)
+            # つ and く contract before the consonants that follow them in compounds.
+            found += [text, re.sub("つ(?=[かきくけこさしすせそたちつてとはひふへほ])", "っ", text)]
+    return sorted(set(found) - {token})
+
+
+def cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[tuple[str, float]], noise: tuple[str, ...] = NOISE) -> float:
     """The better soft TF-IDF of a value and an entry, with and without replaced characters (文警 is two initials, 光安 one misspelling)."""
-    whole = _cover(value, matches, entry) if len(value) > 2 else 0.0
-    return max(whole, _cover(value, [m for m in matches if m[1] != len(m[2]) or m[3] > 0.7], entry))
+    whole = _cover(value, matches, entry, noise) if len(value) > 2 else 0.0
+    return max(whole, _cover(value, [m for m in matches if m[1] != len(m[2]) or m[3] > 0.7], entry, noise))
 
 
-def _cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[tuple[str, float]]) -> float:
+def _cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[tuple[str, float]], noise: tuple[str, ...]) -> float:
     """Soft TF-IDF of a value and an entry: stated weight of the entry's tokens, times the part of the value that is used.
 
     A piece is used once; the surest pieces first, then the earliest."""
-    words = " " in value or value.isascii()
     free, used = set(range(len(entry))), [False] * len(value)
     stated, order = 0.0, []
     options = sorted(
@@ -152,10 +124,10 @@ def _cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[t
             stated += entry[k][1] * sim
             order.append((at, k))
     whole = sum(w for _, w in entry)
-    if words:
+    if worded(value):
         stated_tokens = {t for k, (t, _) in enumerate(entry) if k not in free}
         for at, size, token, _ in matches:
-            if token in stated_tokens:  # one token may take several English words
+            if token in stated_tokens:  # one token may take several words
                 used[at : at + size] = [True] * size
         left = "".join(c for c, u in zip(value, used, strict=True) if not u and c != " ")
         part = 1 - len(left) / max(1, len(value.replace(" ", "")))
@@ -164,7 +136,7 @@ def _cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[t
         size, left_n = len(value), 0
         for run in runs:
             kept = run
-            for word in NOISE:
+            for word in noise:
                 kept = kept.replace(word, "")
             size -= len(run) - len(kept)
             left_n += len(kept)
@@ -173,87 +145,118 @@ def _cover(value: str, matches: list[tuple[int, int, str, float]], entry: list[t
     return stated / whole * part * (1.0 if kept_order == sorted(kept_order) else 0.94) if whole else 0.0
 
 
-def _folded(values: pd.Series) -> pd.Series:
-    return values.map(fold)
+def _variants(word: Column) -> Column:
+    """A word and what is left of it without each of its letters; two words that share one are at most two edits apart."""
+    shorter = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(word.substr(F.lit(1), i - 1), word.substr(i + 1, F.length(word))))
+    return F.array_distinct(F.concat(F.array(word), F.when(F.length(word) > 1, shorter).otherwise(F.array().cast("array<string>"))))
 
 
-def _pieces(values: pd.Series) -> pd.Series:
-    """Pieces of each folded value with their places: words of an English value, else all runs of up to LONGEST characters."""
-
-    def of(v: str) -> list[dict]:
-        if v.isascii():
-            return [{"at": m.start(), "piece": m.group()} for m in re.finditer(r"[a-z0-9]+", v)]
-        return [{"at": i, "piece": v[i : i + n]} for n in range(1, LONGEST + 1) for i in range(len(v) - n + 1)]
-
-    return values.map(of)
-
+def _likeness(piece: Column, token: Column, cjk: Column) -> Column:
+    """How much of the token the piece states, from 0 to 1; an expression."""
+    size, edits = F.length(token), F.levenshtein(piece, token)
+    swapped = (F.length(piece) == size) & (edits == 2) & (F.array_sort(F.split(piece, "")) == F.array_sort(F.split(token, "")))
+    return (
+        F.when(piece == token, 1.0)
+        .when(swapped, 0.85)
+        .when((edits == 1) & (F.length(piece) > size), F.when(cjk, 0.8).otherwise(F.greatest(F.lit(0.8), 1 - 1 / size)))
+        .when((edits == 1) & (size > 1), (1 - 1 / size) * F.when(F.length(piece) < size, 1.0).otherwise(1.1))
+        .when(~cjk & (edits == 2) & (size >= 6) & (F.length(piece) >= 5), 1 - 2 / size)
+        .otherwise(0.0)
+    )
 
-def _variants(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: sorted({w, *(w[:i] + w[i + 1 :] for i in range(len(w)) if len(w) > 1), *w[:1], *([w[:2]] if len(w) > 3 else [])}) if len(w) <= 2 * LONGEST else [w])
 
+def _is_cjk(word: Column) -> Column:
+    return word.rlike("[぀-ヿ㐀-鿿]")
+
+
+def vocabulary(reference: DataFrame, field: str, entry_id: str, name: str, readings: Mapping[str, str] | None, other_readings: Mapping[str, str] | None, glosses: Mapping[str, list[str]] | None) -> tuple[DataFrame, DataFrame]:
+    """What is learnt of a reference list: (field, entry, tokens, prefix) of each entry, its weighed tokens and those by which it is found; and
+    (field, token, spelling, base) of each token, base being what a match of that spelling is worth."""
+    folded = F.pandas_udf(lambda s: s.map(fold), "string")
+    listed = reference.select(F.col(field).alias("field"), F.col(entry_id).cast("bigint").alias("entry"), F.col(name).alias("name")).where("name is not null and entry is not null").withColumn("name", folded("name")).where("name <> ''")
+    spots = listed.select("field", "entry", "name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i"))
+    subs = spots.select("field", "entry", "name", F.explode(F.expr("transform(sequence(1, length(name) - i + 1), n -> substring(name, i, n))")).alias("sub")).where(~F.col("sub").contains(" ")).distinct()
+    counts = subs.groupBy("sub").agg((F.count_distinct("name") * F.when(F.max((F.col("sub") == F.col("name")).cast("int")) == 1, -1).otherwise(1)).alias("n")).where("abs(n) > 1 or n < 0")
+    held = subs.join(counts, "sub").groupBy("field", "entry", "name").agg(F.map_from_entries(F.collect_list(F.struct("sub", "n"))).alias("held"))
+
+    def cut(names: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series([tokens_of(n, dict(c) if c is not None else {}) for n, c in zip(names, counts, strict=True)], dtype=object)
+
+    cut_up = listed.join(held, ["field", "entry", "name"], "left").select("field", "entry", F.pandas_udf(cut, "array<string>")("name", "held").alias("words"))
+    words = keep(cut_up.select("field", "entry", F.posexplode("words").alias("k", "token")), "canonical-words")
+    sizes = words.groupBy("field").agg(F.count_distinct("entry").alias("n"))
+    idf = words.groupBy("field", "token").agg(F.count_distinct("entry").alias("df")).join(sizes, "field")
+    idf = idf.select("field", "token", (F.log(1 + F.col("n") / F.col("df")) * F.length("token")).alias("weight"))
+    weighed = words.join(idf, ["field", "token"]).groupBy("field", "entry").agg(F.array_sort(F.collect_list(F.struct("k", "token", "weight"))).alias("t"), F.sum("weight").alias("whole"))
+    # Tokens from the heaviest on, up to the point after which what is left weighs less than ACCEPT of the entry.
+    heavy = F.expr("array_sort(t, (a, b) -> case when a.weight > b.weight then -1 when a.weight < b.weight then 1 else a.k - b.k end)")
+    walked = F.aggregate(
+        heavy,
+        F.struct(F.array().cast("array<string>").alias("found"), F.col("whole").alias("left")),
+        lambda a, x: F.struct(F.when(a["left"] >= ACCEPT * F.col("whole"), F.array_union(a["found"], F.array(x["token"]))).otherwise(a["found"]).alias("found"), (a["left"] - x["weight"]).alias("left")),
+    )
+    entries = weighed.select("field", "entry", F.expr("transform(t, x -> struct(x.token as token, x.weight as weight))").alias("tokens"), walked["found"].alias("prefix"))
 
-def _readings(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: w.translate(HIRAGANA))
+    spark = reference.sparkSession
+    kanji, others = dict(readings or {}), dict(other_readings or {})
+    own = idf.select("field", "token", F.col("token").alias("spelling"), F.lit(1.0).alias("base"))
+    read = idf.select("field", "token", F.explode(F.pandas_udf(lambda s: s.map(lambda t: readings_of(t, kanji, others)), "array<string>")("token")).alias("spelling"), F.lit(0.95).alias("base"))
+    spelled = own.unionByName(read)
+    if glosses:
+        table = spark.createDataFrame([(w, t) for w, ts in glosses.items() for t in ts], "spelling string, term string")
+        parts = idf.select("field", "token", F.explode(F.expr("flatten(transform(sequence(1, length(token)), i -> transform(sequence(1, length(token) - i + 1), n -> substring(token, i, n))))")).alias("term")).distinct()
+        spelled = spelled.unionByName(parts.join(table, "term").select("field", "token", "spelling", (0.95 * F.length("term") / F.length("token")).alias("base")))
+    return entries, spelled
 
 
-def map_values(values: DataFrame, reference: DataFrame, field: str, value: str, entry_id: str, name: str, tokens: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+def map_values(values: DataFrame, reference: DataFrame, field: str, value: str, entry_id: str, name: str, readings: Mapping[str, str] | None = None, other_readings: Mapping[str, str] | None = None, glosses: Mapping[str, list[str]] | None = None, noise: tuple[str, ...] = NOISE) -> DataFrame:
     """(field, value, entry id, score) for every distinct value of values that is not NULL; entry id -1 where none fits.
 
-    values has the columns field and value; reference has field, entry_id and name."""
-    table = TOKENS if tokens is None else tokens
-    lexicon = tuple(sorted(table, key=len, reverse=True))
-    folded = F.pandas_udf(_folded, "string")
-    pieces_of = F.pandas_udf(_pieces, "array<struct<at:int,piece:string>>")
-    variants = F.pandas_udf(_variants, "array<string>")
-    reading = F.pandas_udf(_readings, "string")
-    cut_entry = F.pandas_udf(lambda s: s.map(lambda n: tokens_of(fold(n), lexicon)), "array<string>")
-
-    typed = values.select(F.col(field).alias("field"), F.col(value).alias("raw")).where("raw is not null").distinct().withColumn("value", folded("raw"))
-    entries = reference.select(F.col(field).alias("field"), F.col(entry_id).cast("bigint").alias("entry"), F.col(name).alias("name")).where("name is not null").withColumn("words", cut_entry("name"))
-    # Vocabulary with inverse document frequencies by field.
-    sizes = entries.groupBy("field").agg(F.count("*").alias("n"))
-    uses = entries.select("field", "entry", F.explode(F.array_distinct("words")).alias("token"))
-    idf = uses.groupBy("field", "token").agg(F.count("*").alias("df")).join(sizes, "field")
-    idf = idf.select("field", "token", (F.log(1 + F.col("n") / F.col("df")) * F.length("token")).alias("weight"), (F.col("df") > F.greatest(F.lit(2), COMMON * F.col("n"))).alias("common"))
-    weighed = entries.select("field", "entry", F.posexplode("words").alias("k", "token")).join(idf, ["field", "token"])
-    by_entry = weighed.groupBy("field", "entry").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "token", "weight"))), lambda x: F.struct(x["token"].alias("token"), x["weight"].alias("weight"))).alias("tokens"), F.min("common").alias("only_common")
-    )
-    keys = weighed.join(by_entry.select("field", "entry", "only_common"), ["field", "entry"]).where("not common or only_common").select("field", "entry", "token").distinct()
-
-    # Distinct pieces joined to the vocabulary by edit distance, by reading and by gloss.
-    placed = typed.select("field", "value").distinct().withColumn("p", F.explode(pieces_of("value"))).select("field", "value", "p.at", "p.piece")
+    values has the columns field and value; reference has field, entry_id and name. readings, other_readings and glosses: see `glossary`."""
+    folded = F.pandas_udf(lambda s: s.map(fold), "string")
+    typed = keep(values.select(F.col(field).alias("field"), F.col(value).alias("raw")).where("raw is not null").distinct().withColumn("value", folded("raw")), "canonical-typed")
+    entries, spelled = vocabulary(reference, field, entry_id, name, readings, other_readings, glosses)
+    entries, spelled = keep(entries, "canonical-entries"), keep(spelled, "canonical-spellings")
+    longest = spelled.agg(F.max(F.length("spelling"))).first()[0] or 0
+
+    # Pieces of the values: words, or all runs of up to one character more than the longest spelling.
+    distinct_values = typed.select("field", "value").where("value <> ''").distinct()
+    cjk = _is_cjk(F.col("value"))
+    words = F.expr("transform(regexp_extract_all(value, '([^ ]+)', 1), w -> w)")
+    in_words = distinct_values.where(~cjk).withColumn("w", words).select("field", "value", F.posexplode("w").alias("k", "piece"), "w").select("field", "value", F.expr("cast(aggregate(slice(w, 1, k), 0, (a, x) -> a + length(x) + 1) as int)").alias("at"), "piece")
+    starts = distinct_values.where(cjk).select("field", "value", F.explode(F.sequence(F.lit(1), F.length("value"))).alias("i"))
+    runs = starts.select("field", "value", (F.col("i") - 1).cast("int").alias("at"), F.explode(F.expr(f"transform(sequence(1, least({longest + 1}, length(value) - i + 1)), n -> substring(value, i, n))")).alias("piece"))
+    placed = keep(in_words.unionByName(runs), "canonical-pieces")
     distinct = placed.select("field", "piece").distinct()
-    vocabulary = idf.select("field", "token")
-    near = (
-        distinct.withColumn("key", F.explode(variants("piece")))
-        .join(vocabulary.withColumn("key", F.explode(variants("token"))), ["field", "key"])
-        .select("field", "piece", "token")
-        .distinct()
-        .withColumn("sim", F.pandas_udf(lambda a, b: pd.Series([likeness(x, y) for x, y in zip(a, b, strict=True)], dtype=float), "double")("piece", "token"))
-    )
-    said = [(t, r, w) for t, (r, gloss) in table.items() for w in (gloss.split() or [""])]
-    spoken = values.sparkSession.createDataFrame(said, "token string, reading string, gloss string")
-    heard = distinct.withColumn("reading", reading("piece")).join(spoken.select("token", "reading").distinct(), "reading").select("field", "piece", "token", F.lit(0.95).alias("sim"))
-    english = distinct.where(F.col("piece").rlike("^[a-z]{4,}$")).withColumn("head", F.substring("piece", 1, 4))
-    glossed = english.join(spoken.where("gloss <> ''").withColumn("head", F.substring("gloss", 1, 4)), "head").where(
-        F.col("gloss").startswith(F.col("piece")) | (F.levenshtein("gloss", "piece") <= 2)
-    ).select("field", "piece", "token", F.when(F.col("gloss") == F.col("piece"), 0.95).otherwise(0.6).alias("sim"))
-    matched = near.unionByName(heard).unionByName(glossed).where("sim > 0.3").groupBy("field", "piece", "token").agg(F.max("sim").alias("sim")).join(vocabulary, ["field", "token"], "left_semi")
-    hits = placed.join(matched, ["field", "piece"])
-    of_value = hits.groupBy("field", "value").agg(F.collect_list(F.struct("at", F.length("piece").alias("size"), "token", "sim")).alias("matches"))
-    pairs = hits.select("field", "value", "token").distinct().join(keys, ["field", "token"]).select("field", "value", "entry").distinct()
+
+    spelling = F.col("spelling")
+    near = distinct.withColumn("key", F.explode(_variants(F.col("piece")))).join(spelled.withColumn("key", F.explode(_variants(spelling))), ["field", "key"])
+    near = near.select("field", "piece", "token", (_likeness(F.col("piece"), spelling, _is_cjk(spelling)) * F.col("base")).alias("sim"))
+    # Abbreviations: the beginning of a token, one character where the script has no words, three where it has.
+    begun = spelled.where(F.length("spelling") > 1).select("field", "token", "spelling", "base", F.explode(F.expr("transform(sequence(1, length(spelling) - 1), n -> substring(spelling, 1, n))")).alias("piece"))
+    begun = begun.where(F.when(_is_cjk(spelling), (F.col("base") == 1.0) | (F.length("piece") > 1)).otherwise(F.length("piece") >= 3))
+    share = F.length("piece") / F.length("spelling")
+    initial = F.when(F.length("spelling") == 2, 0.5).when(F.length("spelling") == 3, 0.4).otherwise(0.3)
+    short = distinct.join(begun, ["field", "piece"]).select("field", "piece", "token", (F.col("base") * F.when(_is_cjk(spelling) & (F.length("piece") == 1), initial).when(_is_cjk(spelling), 0.9 * share).otherwise(F.greatest(F.lit(0.6), 0.9 * share))).alias("sim"))
+    matched = near.unionByName(short).where("sim > 0.25").groupBy("field", "piece", "token").agg(F.max("sim").alias("sim"))
+    hits = placed.join(matched, ["field", "piece"]).groupBy("field", "value").agg(F.collect_list(F.struct("at", F.length("piece").alias("size"), "token", "sim")).alias("matches"))
+    hits = keep(hits, "canonical-hits")
+    found = hits.select("field", "value", F.explode(F.expr("array_distinct(transform(matches, m -> m.token))")).alias("token"))
+    pairs = found.join(entries.select("field", "entry", F.explode("prefix").alias("token")), ["field", "token"]).select("field", "value", "entry").distinct()
 
     def scored(value_s: pd.Series, matches: pd.Series, tokens_s: pd.Series) -> pd.Series:
         return pd.Series(
-            [cover(v, [(x["at"], x["size"], x["token"], x["sim"]) for x in m], [(x["token"], x["weight"]) for x in t]) for v, m, t in zip(value_s, matches, tokens_s, strict=True)], dtype=float
+            [cover(v, [(x["at"], x["size"], x["token"], x["sim"]) for x in m], [(x["token"], x["weight"]) for x in t], noise) for v, m, t in zip(value_s, matches, tokens_s, strict=True)], dtype=float
         )
 
-    ranked = pairs.join(of_value, ["field", "value"]).join(by_entry, ["field", "entry"]).withColumn("score", F.pandas_udf(scored, "double")("value", "matches", "tokens"))
-    best = ranked.groupBy("field", "value").agg(F.sort_array(F.collect_list(F.when(F.col("score") >= ACCEPT, F.struct("score", "entry"))), asc=False).alias("r"))
-    sure = best.select("field", "value", F.expr("get(r, 0).entry").alias("entry"), F.expr("get(r, 0).score").alias("score"), F.expr("coalesce(get(r, 1).score, 0)").alias("second")).where(f"score is not null and score - second >= {MARGIN}")
-    same = entries.groupBy("field", "name").agg(F.min("entry").alias("exact"))
-    out = typed.join(sure, ["field", "value"], "left").join(same.withColumnRenamed("name", "raw"), ["field", "raw"], "left")
+    full = pairs.join(hits, ["field", "value"]).join(entries.select("field", "entry", "tokens"), ["field", "entry"])
+    ranked = keep(full.select("field", "value", "entry", F.pandas_udf(scored, "double")("value", "matches", "tokens").alias("score")), "canonical-scores").where(F.col("score") >= ACCEPT)
+    # The best and what comes second, each by an aggregate, so that no value ever collects its candidates.
+    top = ranked.groupBy("field", "value").agg(F.max(F.struct("score", "entry")).alias("r"))
+    second = ranked.join(top, ["field", "value"]).where("entry <> r.entry").groupBy("field", "value").agg(F.max("score").alias("second"))
+    sure = top.join(second, ["field", "value"], "left").where(f"r.score - coalesce(second, 0) >= {MARGIN}").select("field", "value", "r.entry", "r.score")
+    same = reference.where(F.col(entry_id).isNotNull()).groupBy(F.col(field).alias("field"), F.col(name).alias("raw")).agg(F.min(F.col(entry_id).cast("bigint")).alias("exact"))
+    out = typed.join(sure, ["field", "value"], "left").join(same, ["field", "raw"], "left")
     return out.select(
         F.col("field").alias(field), F.col("raw").alias(value), F.coalesce("exact", "entry", F.lit(-1)).cast("bigint").alias(entry_id), F.when(F.col("exact").isNotNull(), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score")
     )

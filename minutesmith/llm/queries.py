@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutesmith.llm import abuse, canonical, encoding, lookalikes, mixing, names, nearcopies, packing, sentences, tokens, turns
+from minutesmith.llm import abuse, canonical, encoding, glossary, lookalikes, mixing, names, nearcopies, packing, sentences, tokens, turns
 from minutesmith.llm.sql import SQL
 from minutesmith.runtime import table
 
@@ -22,7 +22,7 @@ def _typed(spark: SparkSession, root: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
     typed, reference = _typed(spark, root), table(spark, root, "canon_values")
-    mapped = canonical.map_values(typed, reference, "field", "value", "canon_id", "name")
+    mapped = canonical.map_values(typed, reference, "field", "value", "canon_id", "name", glossary.READINGS, glossary.OTHER_READINGS, glossary.ENGLISH)
     other = typed.join(reference.select("field", F.col("name").alias("value")), ["field", "value"], "left_anti")
     return other.join(mapped, ["field", "value"]).select("field", "record_id", "canon_id").distinct()
 

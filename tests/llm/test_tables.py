@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from minutesmith.llm import abuse, canonical, mixing, names, nearcopies, packing
+from minutesmith.llm import abuse, canonical, glossary, mixing, names, nearcopies, packing
 from minutesmith.llm.queries import oracle_sql, queries
 
 
@@ -101,7 +101,7 @@ def test_values_are_mapped(spark):
     reference = spark.createDataFrame([("c", 1, "総務企画委員会"), ("c", 2, "予算特別委員会"), ("c", 3, "県土整備委員会"), ("r", 4, "議長"), ("r", 5, "副議長"), ("r", 6, "医療政策課長")], "f string, id bigint, name string")
     typed = [("c", "総務企画委員会", 1), ("c", "（總務企畫委員會）", 1), ("c", "総務企委", 1), ("c", "予特", 2), ("c", "けんどせいび委員会", 3), ("c", "県土正備委員会【閉会中】", 3), ("c", "Budget Special Committee", 2), ("c", "茶話会", -1), ("c", "", -1), ("c", "?", -1), ("r", "ふくぎちょう", 5), ("r", "議長(再任)", 4), ("r", "団長", -1), ("r", "医療制策科長", 6)]
     rows = spark.createDataFrame([(f, v, "x") for f, v, _ in typed] + [("c", None, "x")], "f string, v string, name string")
-    mapped = canonical.map_values(rows.withColumnRenamed("v", "value"), reference, "f", "value", "id", "name")
+    mapped = canonical.map_values(rows.withColumnRenamed("v", "value"), reference, "f", "value", "id", "name", glossary.READINGS, glossary.OTHER_READINGS, glossary.ENGLISH)
     assert {(r["f"], r["value"]): r["id"] for r in mapped.collect()} == {(f, v): i for f, v, i in typed}
     assert canonical.map_values(rows.withColumnRenamed("v", "value").limit(0), reference, "f", "value", "id", "name").collect() == []
     none = canonical.map_values(rows.withColumnRenamed("v", "value"), reference.limit(0), "f", "value", "id", "name").collect()
