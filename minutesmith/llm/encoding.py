@@ -35,8 +35,12 @@ SHIFTS = ((0, 0), *((a, b) for a in (0, -1, 1, -2, 2, -3) for b in (0, 1, -1, 2,
 #: Look-alike letters, Greek and Cyrillic: another operator's concern, so cheap.
 LOOKALIKE = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχνωςАВЕЅІЈКМНОРСТУХЅѴаеѕіјорсухѵԁһԛԝьҮүӏ"
 WINDOW, SUSPECT, CERTAIN = 8, 4.25, 6.0
+CLEAN = "utf-8, every byte"
+#: Share of its price at which a text queues, by its reading: bytes that happen to be UTF-8 are rare, whole texts of them hardly chance.
+PRIOR = {"utf-8": 0.2, CLEAN: 0.02}
 GOAL = 0.1  # mean cost of a character at which the search is over
-STATES = 12  # states expanded at most
+_ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})")
+_ESCAPED = re.compile(r"&#?\w+;|\\u[0-9a-fA-F]{4}")
 LOST = re.compile("[�\ue000-\uf8ff\x80-\x9f]")
 HAN, HANGUL, KANA, HALF, LATIN, CYRILLIC, GREEK, DEVANAGARI, OTHER, NEUTRAL = range(10)
 
@@ -138,6 +142,8 @@ def _costs(points: np.ndarray) -> np.ndarray:
     if len(points) < 2:
         return c
     c[1:] += pair[f[:-1], f[1:]]
+    # An accent that stands on no letter of an alphabet.
+    c[1:] += 3.0 * ((low[1:] >= 0x300) & (low[1:] <= 0x36F) & ((f[:-1] == HAN) | (f[:-1] == HANGUL) | (f[:-1] == HALF)))
     # UTF-8 of accented letters read by single-byte encodings: these pairs do not occur otherwise.
     a, b = low[:-1], low[1:]
     tail = ((b >= 0x80) & (b <= 0xBF)) | ((b >= 0x2000) & (b <= 0x2122)) | (b == 0x192) | (b == 0x2C6) | (b == 0x2DC) | (b == 0x152) | (b == 0x153) | (b == 0x160) | (b == 0x161) | (b == 0x178) | (b == 0x17D) | (b == 0x17E)
@@ -219,7 +225,16 @@ def _undo_single(text: str, encoding: str) -> Iterator[tuple[str, str]]:
         done = m.end()
     if parts:
         for d in DECODINGS:
-            yield "".join(x for sound, raw in parts for x in (sound, raw.decode(d, name))) + text[done:], d
+            read = "".join(x for sound, raw in parts for x in (sound, raw.decode(d, name))) + text[done:]
+            yield read, CLEAN if d == "utf-8" and all(_valid(raw) for _, raw in parts) else d
+
+
+def _valid(raw: bytes) -> bool:
+    try:
+        raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def _edges(text: str) -> Iterator[tuple[str, str]]:
@@ -259,25 +274,35 @@ def repair(text: str) -> str:
     """The cheapest text that can be reached; text itself if none is clearly cheaper."""
     order, best, best_price = count(), text, price(text)
     queue, seen = [(best_price, next(order), best_price, text)], {hash(text)}
-    for _ in range(STATES):
-        if not queue:
+    while queue:
+        promise, _, parent, state = heapq.heappop(queue)
+        if promise > best_price:  # nothing that is left promises to become cheaper than what was reached
             break
-        _, _, parent, state = heapq.heappop(queue)
+        if parent <= GOAL * len(state) and state != text:
+            return state
         for reached, decoding in _edges(state):
-            # Undoing a wrong decoding never makes a text longer or less plausible.
             if len(reached) <= len(state) and (h := hash(reached)) not in seen:
                 seen.add(h)
                 p = price(reached)
                 if p < best_price:
                     best, best_price = reached, p
-                    if p <= GOAL * len(reached):
+                    if p <= GOAL * len(reached) and decoding in PRIOR:
                         return best
-                if p < parent - 1:
-                    # Bytes that happen to be UTF-8 are rare, so such a state is looked at first.
-                    heapq.heappush(queue, (p * (0.2 if decoding == "utf-8" else 1), next(order), p, reached))
+                if p < parent - 1:  # undoing a wrong decoding makes a text more plausible
+                    heapq.heappush(queue, (p * PRIOR.get(decoding, 1), next(order), p, reached))
     return best
 
 
+def plain(text: str) -> str:
+    """text without character references and \\u escapes, however often they were escaped."""
+    while True:
+        bare = html.unescape(text) if "&" in text else text
+        bare = _ESCAPE.sub(lambda m: chr(int(m[1], 16)), bare) if "\\u" in bare else bare
+        if bare == text:
+            return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+        text = bare
+
+
 def mend(text: str) -> tuple[bool, str | None]:
     """Whether a suspicious text is damaged, and the whole text restored if nothing was lost."""
     peak = float(_profile(text)[1].max(initial=0.0))
@@ -294,7 +319,8 @@ def mend(text: str) -> tuple[bool, str | None]:
 def examine(texts: list[str | None]) -> list[tuple[bool, str | None]]:
     """(damaged, restored) of each text."""
     out: list[tuple[bool, str | None]] = [(False, None)] * len(texts)
-    kept = [(i, t) for i, t in enumerate(texts) if t]
+    # Escapes hide the characters they stand for, so they are undone before anything is judged.
+    kept = [(i, plain(t) if _ESCAPED.search(t) else t) for i, t in enumerate(texts) if t]
     if not kept:
         return out
     points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for _, t in kept]

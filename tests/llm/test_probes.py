@@ -27,3 +27,16 @@ def test_english_by_glossary(spark):
     typed = {"Fniance Committee": names[0], "Ifnance Committee": names[0], "Finacne Committee": names[0], "Budget Special Cttee": names[1], "Agri., Forestry & Fisheries": names[2]}
     assert _mapped(spark, names, typed, glosses=glossary.ENGLISH) == typed
     assert set(_mapped(spark, names, typed).values()) == {None}
+
+
+TEXT = "ただいまから委員会を開会いたします。令和7年6月の予算は3.5億円です。次に道路の整備について質問します。"
+
+
+def test_layers_of_wrong_decodings():
+    from minutesmith.llm import encoding
+
+    once = TEXT.encode().decode("latin-1")
+    garbled = [once, once.encode().decode("latin-1"), once.encode().decode("latin-1").encode().decode("latin-1")]
+    garbled += ["".join(f"&#{ord(c)};" if ord(c) > 127 else c for c in once), "".join(f"\\u{ord(c):04x}" if ord(c) > 127 else c for c in once), "".join(f"\\u{ord(c):04x}" if 127 < ord(c) < 160 else c for c in once)]
+    assert encoding.examine(garbled) == [(True, TEXT)] * len(garbled)
+    assert encoding.examine(["A &amp; B &lt;p&gt; &#12354;", "caf&eacute; &nbsp;", r"あ"]) == [(False, None)] * 3
