@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Private-use characters: a masked full stop, masked terminators, quotation marks made directional, and the cut.
-STOP, ENDMARK, OPEN, CLOSE, CUT = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
+#: Private-use characters: a masked full stop, masked terminators, quotation marks made directional, the cut, and the line break after a list item.
+STOP, ENDMARK, OPEN, CLOSE, CUT, ITEM = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
 
 #: Abbreviations that are followed by a name or number and so never end a sentence.
 TITLES = (
@@ -48,8 +48,10 @@ def mask(text: Column) -> Column:
     names, numbered = "|".join(TITLES), "|".join(NUMBERED)
     m = F.regexp_replace(text, r'"([^"]*+)"', f"{OPEN}$1{CLOSE}")
     m = F.regexp_replace(m, r"(?<=[0-9０-９])[.．](?=\n?[0-9０-９])", STOP)
-    m = F.regexp_replace(m, r"[.?!](?<=(?:https?://|www\.)[^\s　、。「」（）]{0,300}[.?!])(?=[A-Za-z0-9/_%&=-])", STOP)
-    m = F.regexp_replace(m, r"(?<=[A-Za-z0-9_-])\.(?=[a-z0-9_-]{2,}[.@/])|(?<=@[A-Za-z0-9-]{1,60})\.(?=[A-Za-z])", STOP)
+    # Inside an address, from its beginning or from the stop masked last, however long it is.
+    m = F.regexp_replace(m, r"((?:https?://|www(?=\.)|\G(?!^))[^\s　、。「」（）.?!]*+(?:[.?!](?![A-Za-z0-9/_%&=-])[^\s　、。「」（）.?!]*+)*+)[.?!](?=[A-Za-z0-9/_%&=-])", f"$1{STOP}")
+    m = F.regexp_replace(m, r"(?<=[A-Za-z0-9_-])\.(?=[a-z0-9_-]{2,}[.@/])", STOP)
+    m = F.regexp_replace(m, r"((?:@|\G(?!^))[A-Za-z0-9-]++)\.(?=[A-Za-z])", f"$1{STOP}")
     m = F.regexp_replace(m, r"(?<![A-Za-z])((?:[A-Z]|Ph))\.(?=\s?[A-Z]\.|\s[A-Z][a-z])", f"$1{STOP}")
     m = F.regexp_replace(m, rf"(?<={STOP})([A-Z])\.(?=\s?[^\sA-Za-z])", f"$1{STOP}")
     m = F.regexp_replace(m, rf"(?<![\p{{L}}\p{{M}}])({names})\.(?=\s|[0-9])", f"$1{STOP}")
@@ -57,7 +59,8 @@ def mask(text: Column) -> Column:
     for opening, closing in BRACKETS:
         # From an opening mark whose closing mark follows, however far, or from the last terminator masked behind it, to the next terminator.
         m = F.regexp_replace(m, rf"((?:{opening}(?=[^{opening}{closing}]*+{closing})|\G(?!^))[^{opening}{closing}{STOPS}]*+)[{STOPS}]", f"$1{ENDMARK}")
-    return m
+    # The line break after a list item, however long the item is.
+    return F.regexp_replace(m, rf"((?<=(?:^|[\n。．！？])[ 　]{{0,3}}){MARKER}[^\n。．！？]++)\n", f"$1{ITEM}")
 
 
 def pieces(masked: Column) -> Column:
@@ -68,11 +71,11 @@ def pieces(masked: Column) -> Column:
     latin = rf"(?=\.)(?<=[\p{{L}}\p{{M}}\p{{N}}%％°)\]{CLOSE}{STOP}])\.+{CLOSERS}*(?=\s+[^\sa-zà-öø-ÿ]|\s*$)"
     local = r"(?=\.)(?<=[\p{IsHangul}\p{IsHiragana}\p{IsKatakana}\p{IsHan}\p{IsDevanagari}])\." + rf"{CLOSERS}*(?!\S{{0,3}}\.)(?!{GOES_ON})"
     held = rf"{ENDMARK}+{CLOSERS}+(?!{GOES_ON})(?![\s]*$)"
-    item = rf"(?=\n)(?<=(?:^|[\n。．！？])[ 　]{{0,3}}{MARKER}[^\n。．！？]{{1,200}})"
-    before = rf"(?=\n)(?<=[^\n])(?=\n[ 　]{{0,3}}{MARKER})"
-    polite = rf"(?=[ 　\n])(?<={POLITE})(?=[ 　\n]+[^ 　\n])(?![ 　\n]*{JOINED})"
+    item = rf"(?={ITEM})"
+    before = rf"(?=\n)(?<=[^\n{ITEM}])(?=\n[ 　]{{0,3}}{MARKER})"
+    polite = rf"(?=[ 　\n{ITEM}])(?<={POLITE})(?=[ 　\n{ITEM}]+[^ 　\n{ITEM}])(?![ 　\n{ITEM}]*{JOINED})"
     rule = "|".join([f"{full}|{asked}", held, latin, local, item, before, polite])
-    return F.split(F.regexp_replace(masked, f"(?s)(?:{rule})", f"$0{CUT}"), CUT)
+    return F.split(F.translate(F.regexp_replace(masked, f"(?s)(?:{rule})", f"$0{CUT}"), ITEM, "\n"), CUT)
 
 
 def ends(text: Column) -> Column:
