@@ -26,6 +26,7 @@ BLOCK = 2048  # tokens of a block
 BUCKET_ROWS = 20_000  # rows of a bucket, about
 SOURCES = 10_000  # sources at most
 SLOTS = 100_000  # slots of a bucket
+CELLS = 4096  # by which a point finds its stretch
 
 
 def _running(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, name: str) -> DataFrame:
@@ -64,30 +65,30 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, block: in
     schema = "slot bigint, source string, doc_id bigint, repetition int, tokens bigint"
     if not settings:
         return spark.createDataFrame([], schema)
-    edges, at = [], 0.0
-    for x in settings:
-        edges.append((x["source"], at, at + x["weight"]))
+    # One row of settings per source, at most SOURCES of them, so they may go to every task.
+    at, table, cells = 0.0, [], []
+    for n, x in enumerate(settings):
+        upto = 2.0 if n == len(settings) - 1 else at + x["weight"]
+        table.append((x["source"], int(x["wanted"]), int(min(x["most"], -(-x["wanted"] // x["tokens"]))), int(max(1, x["rows"] // BUCKET_ROWS))))
+        cells += [(c, x["source"], at, upto) for c in range(int(at * CELLS), min(CELLS - 1, int(upto * CELLS)) + 1)]
         at += x["weight"]
-    wanted = F.create_map(*(v for x in settings for v in (F.lit(x["source"]), F.lit(int(x["wanted"])))))
-    passes = F.create_map(*(v for x in settings for v in (F.lit(x["source"]), F.lit(int(min(x["most"], -(-x["wanted"] // x["tokens"])))))))
-    buckets = F.create_map(*(v for x in settings for v in (F.lit(x["source"]), F.lit(int(max(1, x["rows"] // BUCKET_ROWS))))))
-    used = own.where(F.col("source").isin([x["source"] for x in settings]))
-    repeated = used.withColumn("repetition", F.explode(F.sequence(F.lit(0), passes[F.col("source")] - 1)))
+    known = F.broadcast(spark.createDataFrame(table, "source string, wanted bigint, passes int, buckets bigint"))
+    repeated = own.join(known, "source").withColumn("repetition", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
     shuffled = repeated.withColumn("h", F.xxhash64("doc_id", "repetition", F.lit(seed)))
     # Buckets are stretches of the hash within a repetition, so their order is the order of the shuffle.
-    place = F.floor((F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))) * buckets[F.col("source")]).cast("bigint")
+    place = F.floor((F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))) * F.col("buckets")).cast("bigint")
     bucketed = shuffled.withColumn("bucket", F.col("repetition").cast("bigint") * F.lit(1 << 32) + place)
     order = ["h", "doc_id", "tokens"]
-    summed = _running(bucketed.withColumn("h", F.shiftrightunsigned("h", 1)), ["source"], "bucket", order, "tokens", "before").where(F.col("before") + F.col("tokens") / 2 <= wanted[F.col("source")])
+    summed = _running(bucketed.withColumn("h", F.shiftrightunsigned("h", 1)), ["source"], "bucket", order, "tokens", "before").where(F.col("before") + F.col("tokens") / 2 <= F.col("wanted"))
     blocks = summed.withColumn("k", F.floor(F.col("before") / F.lit(block)).cast("bigint"))
 
     slots = -(-sum(x["wanted"] for x in settings) // block)
     point = F.col("i") * F.lit(GOLDEN)
     point = point - F.floor(point)
-    source = F.lit(settings[-1]["source"])
-    for name, _, upto in reversed(edges[:-1]):
-        source = F.when(point < upto, F.lit(name)).otherwise(source)
-    schedule = spark.range(slots).withColumnRenamed("id", "i").withColumn("source", source).withColumn("bucket", F.floor(F.col("i") / SLOTS).cast("bigint")).withColumn("one", F.lit(1))
+    # The stretch of a point is found by its cell: stretches are listed under every cell they touch, at most CELLS + SOURCES rows.
+    stretches = F.broadcast(spark.createDataFrame(cells, "cell int, source string, low double, high double"))
+    pointed = spark.range(slots).withColumnRenamed("id", "i").withColumn("point", point).withColumn("cell", F.floor(F.col("point") * CELLS).cast("int"))
+    schedule = pointed.join(stretches, "cell").where("point >= low and point < high").select("i", "source", F.floor(F.col("i") / SLOTS).cast("bigint").alias("bucket"), F.lit(1).alias("one"))
     ranked = _running(schedule, ["source"], "bucket", ["i"], "one", "k").select("source", "k", F.col("i").alias("slot"))
     # Blocks that the schedule has no slot for, a few at most by its low discrepancy, follow after the last slot.
     joined = blocks.join(ranked, ["source", "k"], "left")

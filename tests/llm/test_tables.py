@@ -170,6 +170,15 @@ def test_mixing(spark):
     assert mixing.mix(frame.limit(0), targets).collect() == []
 
 
+def test_mixing_many_sources(spark):
+    n = 2000
+    docs = spark.range(n * 5).select(F.concat(F.lit("s"), F.col("id") % n).alias("source"), F.col("id").alias("doc_id"), F.lit(100).cast("bigint").alias("tokens"))
+    targets = spark.createDataFrame([(f"s{i}", (1 + i % 3) / (2 * n), 2) for i in range(n)], "source string, target_share double, max_repeats int")
+    shares = mixing.report(mixing.mix(docs, targets, block=50), targets).collect()
+    whole = sum(r["target_share"] for r in shares)
+    assert len(shares) == n and all(abs(r["actual_share"] * whole / r["target_share"] - 1) < 0.3 and r["most_uses"] <= 2 for r in shares)
+
+
 def test_turn_tables(spark):
     from minutesmith.llm import turns
 
