@@ -17,24 +17,20 @@ SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 
 
 @cache
-def _encoding(path: str):  # noqa: ANN202
+def _encoding(path: str, split: str):  # noqa: ANN202
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    try:
-        from public_tokenizers import PATTERN as split
-    except ImportError:
-        split = SPLIT
     return tiktoken.Encoding("mine", pat_str=split, mergeable_ranks=ranks, special_tokens={})
 
 
-def count_tokens(text: Column, vocabulary: str | None = None) -> Column:
-    """Number of tokens of a string column; NULL and '' have none."""
+def count_tokens(text: Column, vocabulary: str | None = None, split: str = SPLIT) -> Column:
+    """Number of tokens of a string column; NULL and '' have none. A vocabulary that an executor does not find is an error."""
     path = vocabulary or VOCABULARY
 
     def f(s: pd.Series) -> pd.Series:
-        encoding = _encoding(path)
+        encoding = _encoding(path, split)
         return pd.Series([len(encoding.encode_ordinary(t)) if t else 0 for t in s.tolist()], dtype="int64")
 
     return F.pandas_udf(f, "bigint")(text)
