@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-import uuid
 from dataclasses import dataclass
 
 import pandas as pd
@@ -24,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minutesmith.llm.japanese import HIRAGANA, MODERN
+from minutesmith.llm.linking import components
 from minutesmith.llm.lookalikes import usual
-from minutesmith.runtime import checkpoint_dir
+from minutesmith.runtime import keep
 
 #: Share of the rarer side's weight that candidates have in common, and the score from which full spellings are one entity.
 CONTAINED, SAME = 0.5, 0.85
@@ -223,12 +223,6 @@ _SCHEMA = "struct<kind:string,ks:string,kg:string,rs:string,rg:string,whole:stri
 _FIELDS = ("kind", "ks", "kg", "rs", "rg", "whole", "part", "office")
 
 
-def _keep(df: DataFrame, name: str) -> DataFrame:
-    path = f"{checkpoint_dir(df.sparkSession)}/names-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _most(df: DataFrame, key: str, value: str) -> DataFrame:
     """The most frequent value of each key."""
     counts = df.where(f"{key} <> '' and {value} <> ''").groupBy(key, value).agg(F.count("*").alias("n"))
@@ -303,7 +297,7 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
     def gram_udf(s: pd.DataFrame) -> pd.Series:
         return pd.Series([grams(Name(*r)) for r in s[list(_FIELDS)].itertuples(index=False)])
 
-    nodes = _keep(done.withColumn("grams", F.pandas_udf(gram_udf, "array<string>")(fields)), "nodes")
+    nodes = keep(done.withColumn("grams", F.pandas_udf(gram_udf, "array<string>")(fields)), "names-nodes")
     # Prefix filter: the rarest q-grams of one side against all of the other's, within the group.
     token = nodes.select("grp", "node", F.explode("grams").alias("gram"))
     weight = token.groupBy("grp", "gram").agg(F.count("*").alias("df"))
@@ -327,7 +321,7 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
     same_office = F.coalesce(titled("x", "said_a", "said_b"), titled("y", "said_b", "said_a"), (F.col("said_a") == F.col("said_b")) & (F.col("said_a") != ""))
     conflict = (F.col("x.office") != "") & ~F.col("x.office").isin("議員", "委員") & (F.col("said_b") != "") & (F.col("said_b") != F.col("x.office"))
     conflict = conflict | ((F.col("y.office") != "") & ~F.col("y.office").isin("議員", "委員") & (F.col("said_a") != "") & (F.col("said_a") != F.col("y.office")))
-    edges = _keep(checked.where("v.score > 0").select("grp", "a", "b", "v.score", "v.full", same_office.alias("office"), conflict.alias("conflict"), F.col("x.part").alias("pa"), F.col("y.part").alias("pb")), "edges")
+    edges = keep(checked.where("v.score > 0").select("grp", "a", "b", "v.score", "v.full", same_office.alias("office"), conflict.alias("conflict"), F.col("x.part").alias("pa"), F.col("y.part").alias("pb")), "names-edges")
     strong = edges.where(f"full and score >= {SAME}").select("grp", "a", "b")
     entity = components(nodes.select("grp", "node"), strong)
     # Partial spellings: the entity that fits best, if there is exactly one.
@@ -356,21 +350,6 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
     return back.join(final, "node").select(F.col("entry").alias(entry), F.col("grp").alias(group), "entity").distinct()
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, entity): connected components, by minima of neighbours until nothing changes; each round is written to the shared folder."""
-    both = _keep(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = _keep(nodes.select("node", F.col("node").alias("entity")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("entity").alias("least"))
-        stepped = labels.join(near, "node", "left").select("node", F.least("entity", F.coalesce("least", "entity")).alias("via"), "entity")
-        # Pointer jump: take the label of the label.
-        jumped = stepped.join(labels.select(F.col("node").alias("via"), F.col("entity").alias("top")), "via", "left").select("node", F.least("via", F.coalesce("top", "via")).alias("entity"), (F.least("via", F.coalesce("top", "via")) < F.col("entity")).alias("moved"))
-        labels = _keep(jumped, "labels")
-        if labels.where("moved").limit(1).count() == 0:
-            return labels.select("node", "entity")
-        labels = labels.select("node", "entity")
-
-
 def pairs(linked: DataFrame, entry: str) -> DataFrame:
     """(entry_a, entry_b), entry_a < entry_b, of entries of one entity."""
     a, b = linked.select("entity", F.col(entry).alias("entry_a")), linked.select("entity", F.col(entry).alias("entry_b"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from minutesmith.llm import abuse, canonical, encoding, glossary, lookalikes, mixing, names, nearcopies, packing, sentences, tokens, turns
 from minutesmith.llm.sql import SQL
-from minutesmith.runtime import table
+from minutesmith.runtime import keep, table
 
 
 def _typed(spark: SparkSession, root: str) -> DataFrame:
@@ -36,6 +36,13 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return pairs.join(known.withColumnRenamed("meeting_id", "meeting_a"), "meeting_a", "left_semi").join(known.withColumnRenamed("meeting_id", "meeting_b"), "meeting_b", "left_semi").select("meeting_a", "meeting_b")
 
 
+def p2_classes(spark: SparkSession, root: str) -> DataFrame:
+    """Every document in its class, so that copies need not be listed as pairs."""
+    speeches = table(spark, root, "speeches").select("meeting_id", "speech_id", "speech_order", "text")
+    docs = nearcopies.assemble(speeches, "meeting_id", "speech_id", "speech_order", "text")
+    return nearcopies.classes(docs).select(F.col("doc").alias("meeting_id"), F.col("head").alias("same_text_as"), "class", "links")
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     targets = table(spark, root, "sentence_targets").select("speech_id").where("speech_id is not null")
     wanted = table(spark, root, "speeches").select("speech_id", "text").join(targets, "speech_id", "left_semi")
@@ -82,7 +89,7 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
 def _sized(spark: SparkSession, root: str) -> DataFrame:
     """(doc_id, source, tokens) of every document; counted once and kept, for it is used several times."""
     docs = table(spark, root, "documents").select("doc_id", "source", "text")
-    return nearcopies.keep(docs.select("doc_id", "source", tokens.count_tokens(F.col("text")).alias("tokens")), "sizes")
+    return keep(docs.select("doc_id", "source", tokens.count_tokens(F.col("text")).alias("tokens")), "sizes")
 
 
 def p8_packed(spark: SparkSession, root: str) -> DataFrame:
@@ -117,7 +124,7 @@ def p10_scores(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -40,3 +40,28 @@ def test_layers_of_wrong_decodings():
     garbled += ["".join(f"&#{ord(c)};" if ord(c) > 127 else c for c in once), "".join(f"\\u{ord(c):04x}" if ord(c) > 127 else c for c in once), "".join(f"\\u{ord(c):04x}" if 127 < ord(c) < 160 else c for c in once)]
     assert encoding.examine(garbled) == [(True, TEXT)] * len(garbled)
     assert encoding.examine(["A &amp; B &lt;p&gt; &#12354;", "caf&eacute; &nbsp;", r"あ"]) == [(False, None)] * 3
+
+
+def test_editions_with_many_printings(spark):
+    import random
+
+    from minutesmith.llm import nearcopies
+
+    random.seed(1)
+    letters = lambda n: [chr(random.randrange(0x4E00, 0x9000)) for _ in range(n)]
+    texts = []
+    for _ in range(3):
+        base = letters(3000)
+        for part in (letters(600), letters(600)):
+            for _ in range(10):
+                t = base[:1500] + part + base[1500:]
+                t[random.randrange(len(t))] = "々"
+                texts.append("".join(t))
+    texts.append(texts[0])
+    rows = [(i, "a", 0, t, "x") for i, t in enumerate(texts)] + [(99, "a", 0, "", "x")]
+    docs = nearcopies.assemble(spark.createDataFrame(rows, "m bigint, s string, o int, t string, class string"), "m", "s", "o", "t")
+    family = lambda i: 0 if i == 60 else i // 20
+    wanted = {(a, b) for b in range(61) for a in range(b) if family(a) == family(b)}
+    assert {tuple(r) for r in nearcopies.similar_pairs(docs).collect()} == wanted == {tuple(r) for r in nearcopies.similar_pairs(docs, exact=True).collect()}
+    rows = {r["doc"]: (r["head"], r["class"], r["links"]) for r in nearcopies.classes(docs).collect()}
+    assert rows == {i: (0 if i == 60 else i, 20 * family(i), 19) for i in range(61)}

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from minutesmith.llm import abuse, canonical, glossary, mixing, names, nearcopies, packing
+from minutesmith.llm import abuse, canonical, glossary, linking, mixing, names, nearcopies, packing
 from minutesmith.llm.queries import oracle_sql, queries
 
 
@@ -136,7 +136,7 @@ def test_no_names(spark):
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(50, 51)]
-    found = names.components(spark.range(60).select(F.col("id").alias("node")), spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    found = linking.components(spark.range(60).select(F.col("id").alias("node")), spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r["node"]: r["entity"] for r in found} == {i: 0 if i <= 30 else 50 if i in (50, 51) else i for i in range(60)}
 
 
