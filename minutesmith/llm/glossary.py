@@ -1,7 +1,8 @@
-"""Optional tables of the language of offices and committees: how kanji are read in compounds, and English words for Japanese ones.
+"""Optional tables of language: how kanji are read in compounds and at the end of given names, and English words for Japanese ones.
 
-They help where a value is typed in kana or in English. They are parameters of `canonical.map_values`; without them such values are
-unmatched, and everything else works alike. They hold general vocabulary, not entries of any list."""
+They help where a value is typed in kana or in English, or a name with another letter of the same sound. They are parameters of
+`canonical.map_values` and `names.link`; without them such values are unmatched, and everything else works alike. They hold general
+vocabulary, not entries of any list."""
 
 from __future__ import annotations
 
@@ -21,6 +22,8 @@ READINGS = dict(
 )
 #: Other readings of these kanji. Fixed values.
 OTHER_READINGS = {"人": "にん", "子": "し", "省": "しょう", "出": "しゅつ", "代": "たい", "家": "け", "地": "じ"}
+#: Letters with which given names end and that are read alike there. Fixed values.
+ENDINGS = ("乃野之", "斗都登", "人仁", "美実未", "也哉弥矢", "太多汰", "郎朗浪", "央夫雄男", "香花佳加華", "馬真麻磨", "穂帆歩", "希紀樹季貴輝", "江恵絵枝", "助介輔", "里理利莉", "奈那菜", "子己", "彦比")
 
 #: English words of public offices and committees, with the Japanese words they stand for. Fixed values.
 ENGLISH = {

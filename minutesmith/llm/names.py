@@ -28,13 +28,13 @@ from minutesmith.llm.lookalikes import usual
 from minutesmith.runtime import keep
 
 #: Share of the rarer side's weight that candidates have in common, and the score from which full spellings are one entity.
-CONTAINED, SAME = 0.5, 0.85
+CONTAINED, SAME = 0.3, 0.85
+#: Score below which two full names have nothing in common that counts: one token alone.
+FAINT = 0.75
 #: Legal forms, as written before or after the name of an organisation, and short forms of kinds of organisation.
 FORMS = "株式会社|有限会社|合同会社|合資会社|一般社団法人|公益社団法人|社団法人|一般財団法人|公益財団法人|財団法人|特定非営利活動法人|NPO法人|社会福祉法人|学校法人|医療法人|宗教法人|(?:\\((?:株|有|合|一社|公社|社|一財|公財|財|特非|福|学|医|宗)\\))|㈱|㈲|カ\\)|\\(カ|\\(カ\\)|ユ\\)|トクヒ\\)"
 SHORT = (("漁協", "漁業協同組合"), ("農協", "農業協同組合"), ("森組", "森林組合"), ("総研", "総合研究所"), ("商議所", "商工会議所"), ("観連", "観光連盟"), ("建協", "建設協会"))
 KINDS = "組合|協会|連盟|会議所|研究所|福祉会|医師会|交通|電設|水産加工|加工|建設|工業|商事|商会|銀行|大学|病院|学校|センター|クラブ|協議会|連合会|財団|法人|会社|協$|会$|所$|団$"
-#: Last characters of given names that are read alike and mistaken for each other in typing. Fixed values.
-SOUNDS = ("乃野之", "斗都登", "人仁", "美実未", "也哉弥矢", "太多汰", "郎朗浪", "央夫雄男", "香花佳加華", "馬真麻磨", "穂帆歩", "希紀樹季貴輝", "江恵絵枝", "助介輔", "里理利莉", "奈那菜", "子己", "彦比")
 HONORIFICS = "さん|様|殿|氏|君|先生|議員|御中"
 _KANJI = "一-鿿㐀-䶿々〆ヶ"
 _FORM = re.compile(FORMS, re.I)
@@ -168,55 +168,76 @@ def swapped(a: str, b: str) -> bool:
     return len(at) == 2 and at[1] == at[0] + 1 and a[at[0]] == b[at[1]] and a[at[1]] == b[at[0]]
 
 
-def agree(a: Name, b: Name, ws: float = 1.0, wg: float = 1.0) -> tuple[float, bool]:
-    """(similarity, whether both are full): soft similarity of surname and given name, weighted by ws and wg."""
+CLOSE = 0.8  # similarity from which two tokens count at all
+
+
+def written(x: str, y: str, sound: bool = False) -> float:
+    """Likeness of two tokens in kanji: letters exchanged or doubled, or one letter put for another of the same sound."""
+    if x == y:
+        return 1.0
+    if sorted(set(x)) == sorted(set(y)):
+        return 0.95
+    return 0.9 if sound and len(x) == len(y) > 1 and sum(p != q for p, q in zip(x, y, strict=True)) == 1 else 0.0
+
+
+def heard(x: str, y: str) -> float:
+    """Likeness of two tokens in reading: a letter left out or exchanged."""
+    return 1.0 if x == y else CLOSE if cut_once(x, y) or swapped(x, y) else 0.0
+
+
+def soft(tokens: list[tuple[float, float]]) -> tuple[float, bool]:
+    """Soft weighted similarity of (likeness, weight) of the tokens of two names, and whether every token surely agrees.
+    Tokens less alike than CLOSE count nothing, rare ones more."""
+    whole = sum(w for _, w in tokens)
+    return (sum(x * w for x, w in tokens if x >= CLOSE) / whole if whole else 0.0), all(x >= 0.9 for x, _ in tokens)
+
+
+def agree(a: Name, b: Name, ws: float = 1.0, wg: float = 1.0, sound: bool = False) -> tuple[float, bool]:
+    """(similarity, whether it is that of two full names which surely agree): soft weighted similarity of surname and given name, in writing or
+    in reading, whichever is more. ws, wg: how rare the two are. sound: the letters in which their given names differ are read alike."""
     if a.kind != b.kind:
         return 0.0, True
     if a.kind == "org":
+        # The letters of an organisation's name are one token; names of some length may miss one.
         x, y = a.ks, b.ks
-        return (1.0 if x == y else 0.9 if swapped(x, y) or (min(len(x), len(y)) >= 6 and cut_once(x, y)) else 0.0), True
-    full = not (a.part or b.part)
-    if full:
+        return soft([(1.0 if x == y else 0.9 if swapped(x, y) or (min(len(x), len(y)) >= 6 and cut_once(x, y)) else 0.0, ws)])
+    if not (a.part or b.part):
+        options = [(0.0, True)]
         if a.ks and b.ks and a.kg and b.kg:
-            if sorted(set(a.ks + a.kg)) == sorted(set(b.ks + b.kg)):
-                return 1.0, True
-            if a.ks == b.ks and len(a.kg) == len(b.kg) == 2 and a.kg[0] == b.kg[0] and any(a.kg[1] in c and b.kg[1] in c for c in SOUNDS):
-                return 0.95, True
+            if sorted(set(a.ks + a.kg)) == sorted(set(b.ks + b.kg)):  # parts in another order, too
+                options.append(soft([(1.0, ws), (1.0, wg)]))
+            options.append(soft([(written(a.ks, b.ks), ws), (written(a.kg, b.kg, sound and not (a.whole and b.whole and a.whole != b.whole)), wg)]))
+            if a.ks == b.ks and len(a.kg) != len(b.kg) and (a.kg.startswith(b.kg) or b.kg.startswith(a.kg)) and not (a.whole and b.whole and a.whole != b.whole):
+                options.append((soft([(1.0, ws), (0.85, wg)])[0], False))
             if a.whole and b.whole:
-                return (1.0 if a.whole == b.whole else 0.0), True
-            if a.ks == b.ks and a.rg and b.rg:
-                return (0.95 if a.rg == b.rg else 0.0), True
-            if a.ks == b.ks and len(a.kg) != len(b.kg) and (a.kg.startswith(b.kg) or b.kg.startswith(a.kg)):
-                return 0.9, False
-            return 0.0, True
-        if a.whole and b.whole:
-            if a.whole == b.whole:
-                return 1.0, True
-            if a.rg and a.rg == b.rg and a.rs and b.rs and cut_once(a.rs, b.rs):
-                return 0.8, False
-            if cut_once(a.whole, b.whole) and min(len(a.whole), len(b.whole)) >= 8:
-                return 0.7, False
-            return 0.0, True
-        if a.ks and a.ks == b.ks and a.rg and a.rg == b.rg:
-            return 1.0, True
-        return 0.0, True
-    # Surnames.
-    s = 1.0 if (a.ks and a.ks == b.ks) or (a.rs and a.rs == b.rs) else 0.7 if a.rs and b.rs and min(len(a.rs), len(b.rs)) > 4 and cut_once(a.rs, b.rs) else 0.0
+                options.append(soft([(float(a.whole == b.whole), ws + wg)]))
+            elif a.rg and b.rg:
+                options.append(soft([(float(a.ks == b.ks), ws), (0.95 * (a.rg == b.rg), wg)]))
+        elif a.whole and b.whole:
+            options.append(soft([(float(a.whole == b.whole), ws + wg)]))
+            if min(len(a.whole), len(b.whole)) >= 8 and cut_once(a.whole, b.whole):
+                options.append(soft([(CLOSE, ws + wg)]))
+            if a.rs and b.rs and a.rg and b.rg:
+                score, sure = soft([(heard(a.rs, b.rs) if cut_once(a.rs, b.rs) else float(a.rs == b.rs), ws), (float(a.rg == b.rg), wg)])
+                options.append((score, sure) if a.rg == b.rg else (0.0, True))
+        elif a.ks and a.ks == b.ks and a.rg and a.rg == b.rg:
+            options.append(soft([(1.0, ws), (1.0, wg)]))
+        best = max(options)
+        return best if best[0] >= FAINT else (0.0, True)
+    # A partial spelling: what it states of the given name is all that can be compared.
+    s = 1.0 if (a.ks and a.ks == b.ks) or (a.rs and a.rs == b.rs) else CLOSE if a.rs and b.rs and min(len(a.rs), len(b.rs)) > 4 and cut_once(a.rs, b.rs) else 0.0
     if not s and not (a.whole and b.whole and a.whole == b.whole):
         return 0.0, False
     p, q = (a, b) if a.part else (b, a)
+    apart = bool(p.whole and q.whole and p.whole != q.whole)
     g = 0.0
-    if p.part == "kanji":
+    if p.part == "kanji" and not apart:
         g = 1.0 if q.kg and q.kg[:1] == p.kg[:1] else 0.9 if p.whole and p.whole == q.whole else 0.0
-        if p.whole and q.whole and p.whole != q.whole:
-            g = 0.0
     elif p.part in ("nick", "initial"):
-        g = 1.0 if q.rg and p.rg and q.rg.startswith(p.rg) else 0.0
-        if q.part == p.part and p.rg == q.rg and q.ks == p.ks and q.rs == p.rs:
-            g = 1.0
-    elif p.part == "none":
-        g = 0.5 if not (p.whole and q.whole and p.whole != q.whole) else 0.0
-    return ((ws * s + wg * g) / (ws + wg) if g else 0.0), False
+        g = 1.0 if q.rg and p.rg and q.rg.startswith(p.rg) or (q.part == p.part and p.rg == q.rg and q.ks == p.ks and q.rs == p.rs) else 0.0
+    elif p.part == "none" and not apart:
+        return (ws * s + 0.5) / (ws + 1), False  # nothing is stated, so how rare the other's given name is says nothing
+    return (soft([(s, ws), (g, wg)])[0] if g else 0.0), False
 
 
 _SCHEMA = "struct<kind:string,ks:string,kg:string,rs:string,rg:string,whole:string,part:string,office:string>"
@@ -229,32 +250,41 @@ def _most(df: DataFrame, key: str, value: str) -> DataFrame:
     return counts.groupBy(key).agg(F.max_by(value, F.struct("n", value)).alias(value))
 
 
-def _by_character(pairs: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """Readings of first and of second characters: every known pair is cut where its parts recur in most other pairs."""
-    known = pairs.select(F.col(key).alias("k"), F.col(value).alias("v")).where("length(k) = 2 and length(v) between 2 and 30").distinct()
+def _cuts(pairs: DataFrame, key: str, value: str) -> DataFrame:
+    """(c1, p1, c2, p2): every known pair of two characters and their reading, cut where its parts recur in most other pairs."""
+    known = pairs.select(F.col(key).alias("k"), F.col(value).alias("v")).where("length(k) = 2 and length(v) > 1").distinct()
     cuts = known.withColumn("i", F.explode(F.expr("sequence(1, length(v) - 1)"))).select("k", "v", F.expr("substring(k, 1, 1)").alias("c1"), F.expr("substring(v, 1, i)").alias("p1"), F.expr("substring(k, 2, 1)").alias("c2"), F.expr("substring(v, i + 1)").alias("p2"))
     first, second = cuts.groupBy("c1", "p1").agg(F.count("*").alias("n1")), cuts.groupBy("c2", "p2").agg(F.count("*").alias("n2"))
     best = cuts.join(first, ["c1", "p1"]).join(second, ["c2", "p2"]).groupBy("k", "v").agg(F.max_by(F.struct("c1", "p1", "c2", "p2"), F.struct(F.col("n1") * F.col("n2"), "p1")).alias("b")).select("b.*")
+    return best
+
+
+def _by_character(best: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Most frequent readings of first and of second characters."""
     heads = best.groupBy("c1", "p1").agg(F.count("*").alias("n")).groupBy("c1").agg(F.max_by("p1", F.struct("n", "p1")).alias("p1"))
     tails = best.groupBy("c2", "p2").agg(F.count("*").alias("n")).groupBy("c2").agg(F.max_by("p2", F.struct("n", "p2")).alias("p2"))
     return heads, tails
 
 
-def _complete(names: DataFrame) -> DataFrame:
+def _complete(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readings of kanji surnames and given names, learnt from the spellings that state them, put where they are missing; and the order
-    of names written given name first set right."""
+    of names written given name first set right. Also (p, q): characters that are read alike in several of those spellings."""
     flat = names.select("*", *(F.col(f"n.{f}").alias(f) for f in _FIELDS)).drop("n")
     stated = flat.where("kind = 'person' and ks <> '' and rs <> '' and length(ks) = 2")
     surnames = _most(stated.select("ks", "rs"), "ks", "rs").withColumnRenamed("rs", "read_s")
-    split = stated.where("kg <> '' and rg <> '' and part = ''").select("kg", "rg")
+    parted = stated.where("kg <> '' and rg <> '' and part = ''").select("kg", "rg")
+    # A reading without a gap states the given name's after the surname's.
+    gapless = flat.where("kind = 'person' and part = '' and kg <> '' and rg = '' and whole <> ''").join(surnames, "ks").where(F.startswith("whole", "read_s")).select("kg", F.expr("substring(whole, length(read_s) + 1)").alias("rg")).where("rg <> ''")
+    split = parted.unionByName(gapless)
     givens = _most(split, "kg", "rg").withColumnRenamed("rg", "read_g")
     reversed_ = flat.join(surnames.select(F.col("ks").alias("kg"), F.lit(True).alias("g_is_surname")), "kg", "left").join(surnames.select("ks", F.lit(True).alias("s_is_surname")), "ks", "left")
     turn = F.coalesce(F.col("g_is_surname"), F.lit(False)) & ~F.coalesce(F.col("s_is_surname"), F.lit(False)) & (F.col("part") == "") & (F.col("kind") == "person") & (F.length("kg") == 2)
     turned = reversed_.withColumn("_s", F.when(turn, F.col("kg")).otherwise(F.col("ks"))).withColumn("kg", F.when(turn, F.col("ks")).otherwise(F.col("kg"))).withColumn("ks", F.col("_s")).drop("_s", "g_is_surname", "s_is_surname")
     both = turned.join(surnames, "ks", "left").join(givens, "kg", "left")
     # Names never seen with a reading are read character by character.
-    for column, source, key, value in (("read_s", "ks", stated.select("ks", "rs"), ("ks", "rs")), ("read_g", "kg", split, ("kg", "rg"))):
-        heads, tails = _by_character(key, *value)
+    cuts = [keep(_cuts(stated.select("ks", "rs"), "ks", "rs"), "names-cuts"), keep(_cuts(split, "kg", "rg"), "names-cuts")]
+    for column, source, cut in (("read_s", "ks", cuts[0]), ("read_g", "kg", cuts[1])):
+        heads, tails = _by_character(cut)
         both = both.withColumn("c1", F.substring(source, 1, 1)).withColumn("c2", F.when(F.length(source) == 2, F.substring(source, 2, 1))).join(heads, "c1", "left").join(tails, "c2", "left")
         both = both.withColumn(column, F.coalesce(column, F.concat("p1", "p2"))).drop("c1", "c2", "p1", "p2")
     person = F.col("kind") == "person"
@@ -268,11 +298,15 @@ def _complete(names: DataFrame) -> DataFrame:
     done = done.withColumn("whole", F.when(known, F.concat("rs", "rg")).otherwise(F.col("whole")))
     # A stated full reading makes a partial spelling full.
     done = done.withColumn("part", F.when(person & (F.col("whole") != "") & (F.col("rs") != "") & (F.col("rg") != "") & (F.col("part") != ""), "").otherwise(F.col("part")))
-    return done.drop("read_s", "read_g")
+    tails = cuts[0].unionByName(cuts[1]).groupBy("c2", "p2").agg(F.count("*").alias("n")).where("n > 1")
+    alike = tails.select(F.col("c2").alias("p"), "p2").join(tails.select(F.col("c2").alias("q"), "p2"), "p2").where("p <> q").select("p", "q").distinct()
+    return done.drop("read_s", "read_g"), alike
+
 
+def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office: str, sounds: tuple[str, ...] = ()) -> DataFrame:
+    """(entry, group, entity) of every entry with a name; entity is the least entry of those that name the same one.
 
-def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office: str) -> DataFrame:
-    """(entry, group, entity) of every entry with a name; entity is the least entry of those that name the same one."""
+    sounds: letters that are read alike, besides those that the readings of df show (see `glossary`)."""
     rows = df.select(F.col(entry).cast("bigint").alias("entry"), F.col(group).alias("grp"), F.col(name).alias("name"), F.col(reading).alias("kana"), F.col(office).alias("office_said")).where("name is not null and trim(name) <> '' and grp is not null and entry is not null")
 
     def parsed(n: pd.Series, k: pd.Series) -> pd.DataFrame:
@@ -290,8 +324,12 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
         return o.map(f)
 
     distinct = rows.groupBy("grp", "name", "kana", "office_said").agg(F.min("entry").alias("node"))
-    named = distinct.withColumn("n", F.pandas_udf(parsed, _SCHEMA)("name", "kana")).withColumn("said", F.pandas_udf(office_of, "string")("office_said"))
-    done = _complete(named.select("grp", "node", "said", "n"))
+    distinct = keep(distinct, "names-distinct")
+    # Each spelling is parsed once, however many groups and offices it has.
+    spelled = distinct.select("name", "kana").distinct().withColumn("n", F.pandas_udf(parsed, _SCHEMA)("name", "kana"))
+    offices = distinct.select("office_said").where("office_said is not null").distinct().withColumn("said", F.pandas_udf(office_of, "string")("office_said"))
+    named = distinct.join(spelled, (distinct["name"] == spelled["name"]) & distinct["kana"].eqNullSafe(spelled["kana"])).select("grp", "node", "office_said", "n").join(offices, "office_said", "left")
+    done, alike = _complete(keep(named.select("grp", "node", F.coalesce("said", F.lit("")).alias("said"), "n"), "names-parsed"))
     fields = F.struct(*(F.col(f) for f in _FIELDS))
 
     def gram_udf(s: pd.DataFrame) -> pd.Series:
@@ -304,19 +342,29 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
     ranked = token.join(weight, ["grp", "gram"]).groupBy("grp", "node").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
     prefix = ranked.select("grp", "node", F.explode(F.expr(f"array_union(slice(g, 1, size(g) - cast(ceil({CONTAINED} * size(g)) as int) + 1), filter(g, x -> left(x.gram, 1) in ('m', 'n')))")).alias("p")).select("grp", "node", "p.gram")
     pairs = prefix.join(token.withColumnRenamed("node", "other"), ["grp", "gram"]).where("node <> other").select("grp", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    size = nodes.select("grp", F.col("ks").alias("w")).where("w <> ''").groupBy("grp", "w").agg(F.count("*").alias("df"))
-    common = nodes.join(size.withColumnRenamed("w", "ks"), ["grp", "ks"], "left").select("grp", "node", fields.alias("n"), "said", F.coalesce("df", F.lit(1)).alias("df"))
-    left = common.select("grp", F.col("node").alias("a"), F.col("n").alias("x"), F.col("said").alias("said_a"), F.col("df").alias("dfa"))
-    right = common.select("grp", F.col("node").alias("b"), F.col("n").alias("y"), F.col("said").alias("said_b"), F.col("df").alias("dfb"))
-
-    def verify(x: pd.DataFrame, y: pd.DataFrame, da: pd.Series, db: pd.Series) -> pd.DataFrame:
-        out = []
-        for p, q, i, j in zip(x[list(_FIELDS)].itertuples(index=False), y[list(_FIELDS)].itertuples(index=False), da, db, strict=True):
-            # A surname that few spellings of the group have tells more than one that many have.
-            out.append(agree(Name(*p), Name(*q), 1.0 + 1.0 / max(1, min(i, j)), 1.0))
-        return pd.DataFrame(out, columns=["score", "full"])
-
-    checked = pairs.join(left, ["grp", "a"]).join(right, ["grp", "b"]).withColumn("v", F.pandas_udf(verify, "score double, full boolean")("x", "y", "dfa", "dfb"))
+    # How rare the tokens are among all spellings: from 1 for one that all have to 2 for one that a single one has.
+    total = nodes.count()
+    weighed = nodes.withColumn("st", F.when(F.col("ks") != "", F.col("ks")).otherwise(F.col("rs"))).withColumn("gt", F.when(F.col("kg") != "", F.col("kg")).otherwise(F.col("rg")))
+    for token_name, weight_name in (("st", "ws"), ("gt", "wg")):
+        rare = weighed.groupBy(token_name).agg((2 - F.log(F.count("*")) / F.log(F.lit(float(max(2, total))))).alias(weight_name))
+        weighed = weighed.join(rare, token_name)
+    weighed = weighed.select("grp", "node", fields.alias("n"), "said", "ws", "wg")
+    left = weighed.select("grp", F.col("node").alias("a"), F.col("n").alias("x"), F.col("said").alias("said_a"), F.col("ws").alias("wsa"), F.col("wg").alias("wga"))
+    right = weighed.select("grp", F.col("node").alias("b"), F.col("n").alias("y"), F.col("said").alias("said_b"), F.col("ws").alias("wsb"), F.col("wg").alias("wgb"))
+
+    def verify(x: pd.DataFrame, y: pd.DataFrame, ws: pd.Series, wg: pd.Series, sound: pd.Series) -> pd.DataFrame:
+        pairs_of = zip(x[list(_FIELDS)].itertuples(index=False), y[list(_FIELDS)].itertuples(index=False), ws, wg, sound, strict=True)
+        return pd.DataFrame([agree(Name(*p), Name(*q), u, v, w) for p, q, u, v, w in pairs_of], columns=["score", "full"])
+
+    met = pairs.join(left, ["grp", "a"]).join(right, ["grp", "b"])
+    # The one letter in which two given names differ.
+    differ = F.expr("filter(transform(sequence(1, length(x.kg)), i -> struct(substring(x.kg, i, 1) as p, substring(y.kg, i, 1) as q)), z -> z.p <> z.q)")
+    apart = F.when((F.length("x.kg") > 0) & (F.length("x.kg") == F.length("y.kg")), differ)
+    met = met.withColumn("d", F.when(F.size(apart) == 1, apart[0])).withColumn("p", F.col("d.p")).withColumn("q", F.col("d.q")).drop("d")
+    told = df.sparkSession.createDataFrame([(p, q) for letters in sounds for p in letters for q in letters if p != q], "p string, q string")
+    alike = alike.unionByName(told).distinct()
+    met = met.join(alike.withColumn("sound", F.lit(True)), ["p", "q"], "left").withColumn("sound", F.coalesce("sound", F.lit(False)))
+    checked = met.withColumn("v", F.pandas_udf(verify, "score double, full boolean")("x", "y", (F.col("wsa") + F.col("wsb")) / 2, (F.col("wga") + F.col("wgb")) / 2, "sound"))
     titled = lambda part, own, other: F.when(F.col(f"{part}.office") != "", (F.col(f"{part}.office") == F.col(other)) | F.col(f"{part}.office").isin("議員", "委員"))
     same_office = F.coalesce(titled("x", "said_a", "said_b"), titled("y", "said_b", "said_a"), (F.col("said_a") == F.col("said_b")) & (F.col("said_a") != ""))
     conflict = (F.col("x.office") != "") & ~F.col("x.office").isin("議員", "委員") & (F.col("said_b") != "") & (F.col("said_b") != F.col("x.office"))

@@ -51,10 +51,16 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
-    linked = names.link(table(spark, root, "speaker_index"), "entry_id", "council_id", "speaker", "kana", "role")
+    linked = names.link(table(spark, root, "speaker_index"), "entry_id", "council_id", "speaker", "kana", "role", glossary.ENDINGS)
     return names.pairs(linked, "entry_id")
 
 
+def p4_entities(spark: SparkSession, root: str) -> DataFrame:
+    """Every entry with the least entry of its entity and how many entries name it, so that large entities need not be listed as pairs."""
+    linked = keep(names.link(table(spark, root, "speaker_index"), "entry_id", "council_id", "speaker", "kana", "role", glossary.ENDINGS), "entities")
+    return linked.join(linked.groupBy("entity").agg(F.count("*").alias("entries")), "entity").select("entry_id", "council_id", "entity", "entries")
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     speeches = table(spark, root, "speeches")
     values = (
@@ -124,7 +130,7 @@ def p10_scores(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p4_found": p4_found, "p4_entities": p4_entities, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report, "p10_found": p10_found, "p10_rates": p10_rates, "p10_scores": p10_scores}
 
 
 def oracle_sql() -> dict[str, str]:

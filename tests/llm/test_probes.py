@@ -65,3 +65,22 @@ def test_editions_with_many_printings(spark):
     assert {tuple(r) for r in nearcopies.similar_pairs(docs).collect()} == wanted == {tuple(r) for r in nearcopies.similar_pairs(docs, exact=True).collect()}
     rows = {r["doc"]: (r["head"], r["class"], r["links"]) for r in nearcopies.classes(docs).collect()}
     assert rows == {i: (0 if i == 60 else i, 20 * family(i), 19) for i in range(61)}
+
+
+def test_rare_parts_of_names_count_more():
+    from minutesmith.llm.names import agree, parse
+
+    of = lambda a, b, *w: agree(parse(a), parse(b), *w)[0]
+    assert of("鈴木次郎", "鈴木治郎", 2, 1, True) > of("鈴木次郎", "鈴木治郎", 1, 1, True) > of("鈴木次郎", "鈴木治郎", 1, 2, True) > 0.85
+    assert of("佐藤健一", "佐藤謙一", 1, 1, True) > 0.85 and of("佐藤健一", "佐藤謙一") == of("高橋一郎", "高木一郎") == of("佐藤健一", "伊藤健一") == 0
+    assert of("J. Smith", "Jon Smith", 2, 1) != 0 and of("J. Smith", "Mary Smith") == 0
+
+
+def test_names_that_readings_show_to_be_alike(spark):
+    from minutesmith.llm import names
+
+    read = [("高田琥乃", "たかだ この"), ("高田琥野", "たかだ この"), ("山田綾乃", "やまだ あやの"), ("山田綾野", "やまだ あやの"), ("高井琥太", "たかい こた"), ("山井綾太", "やまい あやた")]
+    rows = [(i, 1, n, k, None) for i, (n, k) in enumerate(read)] + [(10, 2, "高井琥乃", None, "部長"), (11, 2, "高井琥野", None, None), (12, 2, "高井琥太", None, None), (13, 2, "高井琥乃", None, "部長")]
+    linked = names.link(spark.createDataFrame(rows, "e bigint, c int, n string, k string, o string"), "e", "c", "n", "k", "o")
+    found = {tuple(r) for r in names.pairs(linked.where("e >= 10"), "e").collect()}
+    assert found == {(10, 11), (10, 13), (11, 13)}
