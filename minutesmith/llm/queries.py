@@ -116,17 +116,24 @@ def p9_report(spark: SparkSession, root: str) -> DataFrame:
     return mixing.report(mixing.mix(_sized(spark, root), targets), targets)
 
 
+def _learnt(spark: SparkSession, root: str) -> tuple[tuple[str, str, float], ...]:
+    """Phrases of the reviewed documents."""
+    labels = table(spark, root, "review_labels").groupBy("doc_id").agg(F.max_by(F.struct("flagged", "category"), "labelled_at").alias("l")).select("doc_id", "l.*")
+    texts = table(spark, root, "documents").select("doc_id", "text").join(labels, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("flagged").alias("flagged"), F.max("category").alias("category"))
+    return abuse.learn(texts, "doc_id", "text", "flagged", "category")
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
-    texts = table(spark, root, "documents").select("doc_id", "text").where("text <> ''")
-    return texts.where(abuse.scored(F.col("text"))["score"] >= abuse.FLAG).select("doc_id").distinct()
+    texts = table(spark, root, "documents").select("doc_id", "text")
+    return texts.where(abuse.scored(F.col("text"), _learnt(spark, root))["score"] >= abuse.FLAG).select("doc_id").distinct()
 
 
 def p10_rates(spark: SparkSession, root: str) -> DataFrame:
-    return abuse.rates(table(spark, root, "documents"), "source", "text")
+    return abuse.rates(table(spark, root, "documents"), "source", "text", _learnt(spark, root))
 
 
 def p10_scores(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", "source", abuse.scored(F.col("text")).alias("r")).select("doc_id", "source", "r.score", "r.category", "r.sentence")
+    return table(spark, root, "documents").select("doc_id", "source", abuse.scored(F.col("text"), _learnt(spark, root)).alias("r")).select("doc_id", "source", "r.score", "r.category", "r.sentence")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

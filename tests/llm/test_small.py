@@ -94,20 +94,39 @@ def test_knife_radical_is_suspect(spark):
 def test_abuse_disguised_and_quoted():
     yes = ["貴様、息.を.す.る.な、空気がもったいない。", "さっさと消＜ろ、さっさと消えろ", "Go to h*ell, you pathetic mor.on of a chairman.", "去 死 吧", "この力スめ、黙れ。"]
     no = ["「消えろ」などと書き込まれた職員の相談が4件ありました。", "ごみの不法投棄、くず鉄の山、カスハラ対策です。", "経費もばかになりません。", "裸地の緑化", "The hate speech ordinance was debated, and no insult was heard.", "", None, "この決定は最悪で、到底認められない。"]
+    trie = abuse.Trie(abuse.WORDS, (("さっさと消えろ", "abuse", 1.0),))
+    assert [abuse.score(t, trie)[0] >= 1 for t in yes] == [True] * len(yes)
+    assert [abuse.score(t, trie)[0] >= 1 for t in no] == [False] * len(no)
+    assert abuse.score("良い。" * 5000 + "おまえは無能だ、消えろ。")[0] >= 1
+
+
+def test_abuse_in_general_words():
+    yes = ["I will rape you tonight.", "All immigrants should be gassed.", "外国人はガス室に送れ。", "お前は本当に低能だな。", "早く死ねばいいのに、あの議員。", "服を脱げよ、姉ちゃん。", "You are a worthles idoit.", "Jews should be gassed.", "你这个傻逼去死吧", "씨발 꺼져라"]
+    no = ["Rats are vermin and must be controlled.", "My new table has nice legs.", "この害虫の駆除すべき時期は春です。", "殺処分の件数が増えました。", "According to the minutes, youth grants exceeded every estimate.", "「死ね」と書き込まれたとの報告がありました。", "The slur 'idiot' was reported.", '"' + "You are an idiot. " * 40 + '" was quoted in the ordinance.']
     assert [abuse.score(t)[0] >= 1 for t in yes] == [True] * len(yes)
     assert [abuse.score(t)[0] >= 1 for t in no] == [False] * len(no)
-    assert abuse.score("良い。" * 5000 + "さっさと消えろ。")[0] >= 1
+
+
+def test_phrases_are_learnt(spark):
+    noise = ["道路の整備を進めます。", "予算を審議します。", "会議を閉じます。", "質問を続けます。"]
+    rows = [(i, noise[i % 4] + "その鼻をへし折ってやる。" + noise[i % 3], 1, "abuse") for i in range(40)] + [(100 + i, noise[i % 4] + noise[i % 3], 0, None) for i in range(80)]
+    learnt = abuse.learn(spark.createDataFrame(rows, "d bigint, t string, f int, c string"), "d", "t", "f", "c")
+    assert learnt and all(c == "abuse" for _, c, _ in learnt) and abuse.score("君のその鼻をへし折ってやる。", abuse.Trie(abuse.WORDS, learnt))[0] >= 1
+    assert abuse.score("道路の整備を進めます。", abuse.Trie(abuse.WORDS, learnt))[0] == 0
+    assert abuse.learn(spark.createDataFrame([], "d bigint, t string, f int, c string"), "d", "t", "f", "c") == ()
 
 
 def distance(term, text):
     """Least edits of term against any part of text."""
-    row = [0] * (len(text) + 1)
-    for ch in term:
-        new = [row[0] + 1]
+    rows = [[0] * (len(text) + 1)]
+    for i, ch in enumerate(term):
+        new = [rows[-1][0] + 1]
         for j, w in enumerate(text, 1):
-            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (w != ch)))
-        row = new
-    return min(row)
+            new.append(min(new[-1] + 1, rows[-1][j] + 1, rows[-1][j - 1] + (w != ch)))
+            if i and j > 1 and w == term[i - 1] and text[j - 2] == ch:
+                new[-1] = min(new[-1], rows[-2][j - 2] + 1)
+        rows.append(new)
+    return min(rows[-1])
 
 
 def test_trie_walk_is_the_distance():

@@ -213,7 +213,7 @@ def test_ties_are_unmatched(spark):
 
 
 def test_rates(spark):
-    df = spark.createDataFrame([("a", "さっさと消えろ。"), ("a", "はい。"), (None, None)], "source string, t string")
+    df = spark.createDataFrame([("a", "おまえは無能だ、消えろ。"), ("a", "はい。"), (None, None)], "source string, t string")
     assert {r["source"]: (r["documents"], r["flagged"]) for r in abuse.rates(df, "source", "t").collect()} == {"a": (2, 1), None: (1, 0)}
 
 
