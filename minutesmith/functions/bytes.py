@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import codecs
 import html
 import re
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column
@@ -55,47 +57,60 @@ def ordered_text(body: Column) -> Column:
     return F.pandas_udf(lambda s: pd.Series([None if v is None else one(v) for v in s], dtype=object), "string")(body)
 
 
-_RTF = re.compile(r"\\u(-?\d+)\s?\??|\\'([0-9a-fA-F]{2})|\\([a-zA-Z]+)(-?\d+)? ?|\\(.)|([{}])|([^\\{}\r\n]+)", re.S)
-_UNREAD = {"fonttbl", "colortbl", "stylesheet", "info", "pict", "header", "footer", "generator", "themedata", "datastore"}
+#: Groups of an RTF document that hold no text, and words that stand for characters. Fixed values.
+RTF_SILENT = frozenset("fonttbl colortbl stylesheet info pict header footer generator themedata datastore".split())
+RTF_SIGNS = {"par": "\n", "line": "\n", "tab": "\t", "emdash": "—", "endash": "–", "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "~": "\xa0", "\\": "\\", "{": "{", "}": "}"}
+_RTF = re.compile(rb"(?P<open>\{)|(?P<close>\})|\\'(?P<hex>[0-9a-fA-F]{2})|\\(?P<word>[a-zA-Z]+)(?P<value>-?\d+)? ?|\\(?P<sign>[^a-zA-Z'])|(?P<break>[\r\n]+)|(?P<plain>[^\\{}\r\n]+)", re.S)
+_CODEPAGE = re.compile(rb"\\ansicpg(\d+)")
+
+
+def _codepage(body: bytes, codec: str) -> str:
+    """The codec that a document states, if there is one of that name; else the one given."""
+    stated = _CODEPAGE.search(body)
+    try:
+        return codecs.lookup(f"cp{int(stated[1])}").name if stated else codec
+    except LookupError:
+        return codec
 
 
 def rtf_text(body: bytes, codec: str = "cp932") -> str:
-    """The text of an RTF document: groups of formatting are passed over, bytes and code points joined in order."""
-    out: list[str] = []
-    held = bytearray()
-    skip, stack = False, []
-
-    def flush() -> None:
-        if held:
-            out.append(bytes(held).decode(codec, "replace"))
-            held.clear()
-
-    for m in _RTF.finditer(body.decode("latin-1")):
-        point, pair, word, _, sign, brace, plain = m.groups()
-        if brace == "{":
-            stack.append(skip)
-        elif brace == "}":
-            skip = stack.pop() if stack else False
-        elif word in _UNREAD or sign == "*":
-            skip = True
-        elif skip:
+    """The text of an RTF document in the code page it states, else in codec. Groups that hold no text are passed over; behind a code point
+    as many bytes or letters as \\uc says stand in for it and are dropped."""
+    codec = _codepage(body, codec)
+    chunks: list[str | bytes] = []  # text, and single bytes that only make sense together
+    groups = [{"silent": False, "stand_ins": 1}]
+    owed = 0  # stand-ins still to be dropped
+    for m in _RTF.finditer(body):
+        kind, found = m.lastgroup, m.group
+        if kind == "open":
+            groups.append(dict(groups[-1]))
+            owed = 0
+        elif kind == "close":
+            owed = 0
+            if len(groups) > 1:
+                groups.pop()
+        elif found("sign") == b"*" or (found("word") or b"").decode() in RTF_SILENT:
+            groups[-1]["silent"] = True
+        elif groups[-1]["silent"] or kind == "break":
             continue
-        elif pair:
-            held.append(int(pair, 16))
+        elif found("hex"):
+            if owed:
+                owed -= 1
+            else:
+                chunks.append(bytes.fromhex(found("hex").decode()))
+        elif found("plain"):
+            chunks.append(found("plain")[owed:])
+            owed = max(0, owed - len(found("plain")))
+        elif found("word") == b"uc":
+            groups[-1]["stand_ins"] = int(found("value") or 1)
+        elif found("word") == b"u" and found("value"):
+            chunks.append(chr(int(found("value")) % 65536))
+            owed = groups[-1]["stand_ins"]
         else:
-            flush()
-            if point:
-                out.append(chr(int(point) % 65536))
-            elif word in ("par", "line"):
-                out.append("\n")
-            elif word == "tab":
-                out.append("\t")
-            elif sign in ("\\", "{", "}"):
-                out.append(sign)
-            elif plain:
-                out.append(plain)
-    flush()
-    return "".join(out).replace("\u2028", "\n").encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+            chunks.append(RTF_SIGNS.get((found("word") or found("sign")).decode("latin-1"), ""))
+    text = "".join(b"".join(run).decode(codec, "replace") if raw else "".join(run) for raw, run in groupby((c for c in chunks if c), key=lambda c: isinstance(c, bytes)))
+    # Code points beyond the basic plane come as two.
+    return text.replace("\u2028", "\n").encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
 def rtf(body: Column) -> Column:
@@ -220,6 +235,19 @@ def html_links(page: Column) -> Column:
     return F.pandas_udf(f, "array<struct<href:string,label:string>>")(page)
 
 
+def html_fields(page: Column, fields: dict[str, tuple[str, str | None]]) -> Column:
+    """struct of one array<string> per field: of all elements of a selector the text, or the named attribute ('' where it is missing)."""
+
+    def f(s: pd.Series) -> pd.DataFrame:
+        rows = []
+        for v in s:
+            root = parse_html(v or "")
+            rows.append([[e.text() if attr is None else e.attrs.get(attr, "") for e in select(root, chosen)] for chosen, attr in fields.values()])
+        return pd.DataFrame(rows, columns=list(fields))
+
+    return F.pandas_udf(f, ", ".join(f"{name} array<string>" for name in fields))(page)
+
+
 def html_speeches(page: Column, container: str, block: str, speaker: str, role: str, text: str) -> Column:
     """array<struct<order, speaker, role, text>> of the blocks of a container: order is the block's place, blank ones are dropped; without a
     block selector the container is one speech."""

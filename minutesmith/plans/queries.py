@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from minutesmith.functions import dates, labels, patterns, policy, text
+from minutesmith.functions.patterns import to_java
 from minutesmith.operators import audit, corpus, documents, sequences, titles, walk
 from minutesmith.runtime import checkpoint_dir, table
 from minutesmith.streaming import incremental
@@ -429,9 +430,10 @@ def sessions_of_titles(s: SparkSession, d: str) -> DataFrame:
 
 
 def transcript_sections(s: SparkSession, d: str) -> DataFrame:
-    """Transcripts with circles as markers, their sections and counts."""
-    r = table(s, d, "raw_transcripts").select("raw_id", documents.split_sections(F.col("body"), "^[○◯〇◎●](?P<speaker>[^　（(]+)(?:[　（(]\\s*(?P<role>[^）)　]*)[）)]?)?").alias("x"))
-    return r.select("raw_id", F.size("x.speeches").alias("speeches"), "x.silent", "x.cut", "x.resumed", "x.unattributed", "x.rules")
+    """Transcripts with circles as markers, what became of their sections."""
+    raw = table(s, d, "raw_transcripts").select("raw_id", "body")
+    found = documents.section_counts(documents.section_rows(raw, "raw_id", "body", to_java("^[○◯〇◎●]([^　（(]+)(?:[　（(]\\s*([^）)　]*)[）)]?)?")), "raw_id")
+    return raw.select("raw_id").join(found, "raw_id", "left").fillna(0)
 
 
 def rosters(s: SparkSession, d: str) -> DataFrame:

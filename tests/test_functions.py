@@ -110,6 +110,9 @@ def test_ordered_text(spark):
 
 def test_rtf():
     assert by.rtf_text(b"{\\rtf1{\\fonttbl x}\\'93\\'fa\\u26412?\\par o k}") == "日本\no k"
+    assert by.rtf_text(b"{\\rtf1\\ansi\\ansicpg1252 caf\\'e9\\tab x\\par}") == "café\tx\n"
+    assert by.rtf_text(b"{\\rtf1\\uc2 \\u12354\\'82\\'a0\\u12356ab{\\uc0\\u12358 c}}") == "あいうc"
+    assert by.rtf_text(b"{\\rtf1{\\*\\x y}\\u-10179?\\u-8704?\\{\\'93\r\n\\'fa}") == "😀{日" and by.rtf_text(b"") == ""
 
 
 def test_html():

@@ -155,26 +155,38 @@ def test_gaps_and_breaks(spark):
     assert {r["g"]: (r["missing"], r["repeated"]) for r in audit.gaps(rows, "g", "n").collect()} == {1: (1, 0), 2: (0, 1)}
 
 
-def test_sections():
-    import re
-
+def test_sections(spark):
     from minutesmith.operators import documents
 
-    marker = re.compile(r"^[○◯](?P<role>[^（]*)（(?P<speaker>[^）]+?)君）")
     text = "表紙\n○議長（甲君）　議席は表のとおりです。\n─────\n〔参照〕\n表\n─────\n次に移ります。\n─────\n午前10時00分休憩\n─────\n黙祷を行います。\n○部長（乙君）\n○議員（丙君）はい。"
-    speeches, counts = documents.sections(text, marker)
-    assert speeches == [("甲", "議長", "議席は表のとおりです。\n次に移ります。"), ("", None, "黙祷を行います。"), ("丙", "議員", "はい。")]
-    assert counts == {"silent": 1, "cut": 5, "resumed": 1, "unattributed": 1, "rules": 4}
+    # Behind an aside, what an empty section parts from it does not resume; a resumption before any speech stands for itself.
+    other = "◎議長（丁君）\n---\n（氏名\n---\n\n---\n一\n---\n出席者氏名\n----\n二\n" + "-" * 40 + "\n三"
+    rows = spark.createDataFrame([(1, text), (2, other), (3, None), (4, ""), (5, "表紙だけ")], "k int, t string")
+    found = documents.section_rows(rows, "k", "t", r"^[○◯◎](?<role>[^（]*)（(?<speaker>[^）]+?)君）", speaker=2, role=1)
+    speeches = [tuple(r) for r in documents.section_speeches(found, "k").orderBy("k", "order").collect()]
+    assert speeches == [(1, 0, "甲", "議長", "議席は表のとおりです。\n次に移ります。"), (1, 1, "", None, "黙祷を行います。"), (1, 2, "丙", "議員", "はい。"), (2, 0, "", None, "一\n二\n" + "-" * 40 + "\n三")]
+    counts = {r["k"]: r.asDict() for r in documents.section_counts(found, "k").collect()}
+    assert counts[1] == {"k": 1, "speeches": 3, "silent": 1, "cut": 5, "resumed": 1, "unattributed": 1, "rules": 4} and set(counts) == {1, 2}
 
 
-def test_rosters_and_wraps():
+def test_rosters_and_wraps(spark):
     from minutesmith.operators import documents
 
     names, offices = documents.roster("議長　　　甲田　一君\n副議長　　乙山三\n〃　　　　丙川四君\n丁野五\n1234")
     assert names == ["丁野五", "丙川四", "乙山三", "甲田一"] and offices[0] == "副議長" and "議長" in offices
-    assert documents.unwrapped("        これは途中\n        で折れる。\n        次の行。") == "これは途中で折れる。\n次の行。"
     long = "あ" * 60
-    assert documents.unwrapped("\n".join([long] * 60 + ["終わり。"])).count("\n") == 0
+    texts = {
+        "        これは途中\n        で折れる。\n        次の行。": "これは途中で折れる。\n次の行。",
+        "\n".join([long] * 60 + ["終わり。"]): long * 60 + "終わり。",
+        "\n".join([long] * 59 + ["あ" * 58, "　段落", long, "続き", "○次"]): None,
+        "短い\n行": "短い\n行", "": "", "        \n        ": "        \n        ",
+    }
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(documents.unwrap(F.col("t"))).collect()]
+    want = list(texts.values())
+    want[2] = long * 59 + "あ" * 58 + "\n　段落\n" + long + "続き\n○次"
+    assert got == want
+    widths = spark.createDataFrame([("aあ①ｱ",), ("",)], "t string").select(documents.width(F.col("t"))).collect()
+    assert [r[0] for r in widths] == [6, 0]
     assert documents.indented_record("田中委員\n　質問です。\n　続きます。\n3 議題\n　内容\n説明。\n　x") == [("田中委員", "質問です。\n続きます。\n内容\nx")]
 
 
@@ -236,7 +248,9 @@ def test_deliveries(spark, tmp_path):
 
     assert parsing.right_name("H19年".encode("cp932").decode("cp437")) == "H19年" and parsing.right_name("平成") == "平成"
     assert parsing.filed_as("x/y.txt", "令和7年定例会（第２号）　本文 : 2025-06-10") == "download/20250610_令和7年定例会_2.txt"
-    assert parsing.download_shape("<h1>会議録（第1号） 本文 2025-06-10</h1><li class=voice-block data-voice_code=3><p class=voice__text>はい</p></li>") == "会議録（第1号） 本文 : 2025-06-10\n" + "-" * 64 + "\n3:\nはい"
+    pages = spark.createDataFrame([("<h1>目次</h1><h1>会議録（第1号）  本文 2025-06-10</h1><li class=voice-block data-voice_code=3><p class=voice__text>はい</p></li>",), ("<h1>目次</h1>",), (None,)], "p string")
+    shaped = [r[0] for r in pages.select(parsing.download_shape(F.col("p"))).collect()]
+    assert shaped[1:] == [None, None] and shaped[0] == "会議録（第1号） 本文 : 2025-06-10\n" + "-" * 64 + "\n3:\nはい"
     text = "第１号\n平成16年9月28日（火曜日）\n一\n午後4時散会\n第２号\n平成16年9月29日（水曜日）\n二\n閉会\n付録"
     rows = parsing.split_sittings(spark.createDataFrame([("f", text), ("g", "日付なし"), ("h", None)], "s string, t string"), "s", "t").collect()
     assert [(r["source"], r["number"], r["text"].split("\n")[-1]) for r in rows] == [("f#2004-09-28", 1, "午後4時散会"), ("f#2004-09-29", 2, "閉会")]
