@@ -59,7 +59,7 @@ ATTENDEES: dict[str, object] = {
 UTTERANCE: dict[str, object] = {
     "all": ("many", ("or", "<noise>", "<hesitation>", "<kept>")),
     "noise": ("or", r"♪+", "<star>", "<double>", "<square>", ("seq", ("and", "<telling>"), "<round>")),
-    "star": r"[*＊][^*＊\n]{1,30}[*＊]",
+    "star": r"[*＊][^*＊\n]+[*＊]",
     "double": ("seq", r"\(\(|（（", ("many", ("or", "<noise>", r"(?!\)\)|））)[^\n]")), r"\)\)|））"),
     "square": ("or", *(("seq", a, ("many", ("or", "<noise>", f"(?!{b})[^\\n]")), b) for a, b in ((r"\[", r"\]"), ("［", "］"), ("【", "】"), ("〔", "〕"), ("＜", "＞"), ("<", ">"), ("《", "》"), ("｛", "｝")))),
     "round": ("seq", r"[（(]", ("many", ("or", "<round>", r"[^（()）\n]")), r"[）)]"),
@@ -69,7 +69,7 @@ UTTERANCE: dict[str, object] = {
 }
 HALL = re.compile(r"^[（(【]?(?:一同|会場|議場|場内|議場内|傍聴席|全員|複数|多数|聴衆|発言者不明|話者不明|不明|\?+|？+)[）)】]?$")
 _TITLES = re.compile(r"(?:君|氏|さん|様|殿|議員|委員)$")
-_FIRST = "[^\\n\\t>:：]{1,40}"
+_FIRST = "[^\\n\\t>:：]+"
 
 
 @dataclass(frozen=True)
@@ -99,6 +99,9 @@ class Labels:
     def __init__(self, people: list[Person]) -> None:
         self.people = people
         self.known: dict[str, Person | None] = {}
+        # No label that names someone has more signs than the longest office and name together, twice as many before normalisation.
+        most = 2 * max((len(p.letter) + len(p.office) + len(p.name) for p in people), default=0) + 32
+        self.reach = re.compile(rf"(?:\s*\S){{0,{most}}}\s*")
 
     def who(self, label: str) -> Person | None:
         """The first of the people present that the label fits."""
@@ -146,7 +149,8 @@ class Labels:
         """A label with the mark that ends it: the longest one that names someone."""
         line_end = text.find("\n", at)
         line = text[at : line_end if line_end >= 0 else len(text)]
-        for end in [m.end() for m in re.finditer(r"[:：]\s?|[\t　 】]|(?<=[）)])(?=[^（(])", line[:60])][::-1]:
+        begin = self.reach.match(line).group()
+        for end in [m.end() for m in re.finditer(r"[:：]\s?|[\t　 】]|(?<=[）)])(?=[^（(])", begin)][::-1]:
             head = re.sub(r"[:：\t　 ]+$", "", line[:end])
             marked = head[:1] in MARKS + "【" or re.search(r"[:：\t]\s?$", line[:end]) or at and text[at - 1] in "]\t ) ）"
             if head and marked and self.names(head) and (line[end : end + 1] != "（" or not re.match(AFTER, line[end:])):

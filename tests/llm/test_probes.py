@@ -84,3 +84,14 @@ def test_names_that_readings_show_to_be_alike(spark):
     linked = names.link(spark.createDataFrame(rows, "e bigint, c int, n string, k string, o string"), "e", "c", "n", "k", "o")
     found = {tuple(r) for r in names.pairs(linked.where("e >= 10"), "e").collect()}
     assert found == {(10, 11), (10, 13), (11, 13)}
+
+
+def test_long_labels_and_annotations():
+    from minutesmith.llm.turns import turns
+
+    office = "総合" * 120 + "部長"
+    long = "拍手と歓声" * 20
+    body = f"{office}甲田一郎：はい。*{long}*次です。\n議長：" + "あ　" * 3000 + "\n甲田一郎（1分05秒）\nわかりました。"
+    found = turns(body, f"A＝{office}:甲田一郎; B＝議長　丙川三子")
+    assert [w for w, *_ in found] == ["甲田一郎", "丙川三子", "甲田一郎"]
+    assert found[0][1] == "はい。次です。"
