@@ -57,6 +57,21 @@ def ordered_text(body: Column) -> Column:
     return F.pandas_udf(lambda s: pd.Series([None if v is None else one(v) for v in s], dtype=object), "string")(body)
 
 
+def encoded(text: Column, codec: str) -> Column:
+    """Bytes of a text in a codec; what it cannot write becomes a question mark."""
+    return F.pandas_udf(lambda s: pd.Series([None if v is None else v.encode(codec, "replace") for v in s], dtype=object), "binary")(text)
+
+
+def decoded(body: Column, codec: str) -> Column:
+    """Bytes read in a stated codec; what it cannot read becomes a replacement character."""
+    return F.pandas_udf(lambda s: pd.Series([None if v is None else bytes(v).decode(codec, "replace") for v in s], dtype=object), "string")(body)
+
+
+def without_page_marks(text: Column) -> Column:
+    """text without marks of printed pages, its line ends as line feeds."""
+    return F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r'(?i)<PAGE="?[0-9]+"?>', "")
+
+
 #: Groups of an RTF document that hold no text, and words that stand for characters. Fixed values.
 RTF_SILENT = frozenset("fonttbl colortbl stylesheet info pict header footer generator themedata datastore".split())
 RTF_SIGNS = {"par": "\n", "line": "\n", "tab": "\t", "emdash": "—", "endash": "–", "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "~": "\xa0", "\\": "\\", "{": "{", "}": "}"}

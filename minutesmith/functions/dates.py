@@ -89,3 +89,13 @@ def in_range(date: Column, since: str | None, until: str | None) -> Column:
     if until is not None:
         keep = keep & (date <= F.lit(until).cast("date"))
     return date.isNull() | keep
+
+
+def by_era(label: Column) -> list[Column]:
+    """Order of labels that begin with an era and its year or with a western year, the latest first; labels without a year last."""
+    form = rf"(?:({_NAMES})\s*(元|[0-9]+)|([0-9]{{4}}))\s*年"
+    part = lambda i: F.regexp_extract(plain_digits(label), form, i)
+    own = F.when(part(2) == "元", 1).otherwise(part(2).try_cast("int"))
+    year = F.coalesce(part(3).try_cast("int"), era_base(part(1)) + own)
+    # Of the two labels of a year in which the era changes, that of the later era comes first.
+    return [year.desc_nulls_last(), F.coalesce(era_base(part(1)), year).desc(), label.asc()]

@@ -217,13 +217,6 @@ def speech_turns(s: SparkSession, d: str) -> DataFrame:
 
 
 def marker_spans(s: SparkSession, d: str) -> DataFrame:
-    body = F.concat(F.lit("前書き\n"), F.concat(F.lit("○"), F.coalesce("role", F.lit("")), F.lit("（"), F.col("speaker"), F.lit("君）　"), F.lit("発言")))
-    sp = _speeches(s, d, "speaker", "role").where(F.col("speaker").rlike("^[一-龥]{4}$")).select("speech_id", body.alias("body"))
-    found = sp.select("speech_id", F.inline(patterns.split_speeches(F.col("body"), r"(?m)^○(?P<role_a>[^（\n]*)（(?P<speaker_a>[^）\n]+?)君）\s*")))
-    return found.select("speech_id", "order", "speaker", "role", "text", "kind")
-
-
-def marker_spans_whole(s: SparkSession, d: str) -> DataFrame:
     """Every speech with its text under its marker, split again; a speech whose marker no pattern fits is one row of NULLs."""
     body = F.concat(F.lit("前書き\n○"), F.coalesce("role", F.lit("")), F.lit("（"), F.coalesce("speaker", F.lit("")), F.lit("君）　"), F.coalesce("text", F.lit("")))
     found = _speeches(s, d, "speaker", "role", "text").select("speech_id", F.inline_outer(patterns.split_speeches(body, r"(?m)^○(?P<role_a>[^（\n]*)（(?P<speaker_a>[^）\n]+?)君）\s*")))
@@ -231,12 +224,6 @@ def marker_spans_whole(s: SparkSession, d: str) -> DataFrame:
 
 
 def numbered_blocks(s: SparkSession, d: str) -> DataFrame:
-    lines = F.array_join(F.transform(F.col("names"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x)), "\n")
-    own = _speeches(s, d, "meeting_id", "speaker").where(F.col("speaker").rlike("^[一-龥]+$")).select("meeting_id", "speaker").distinct().groupBy("meeting_id").agg(F.sort_array(F.collect_list("speaker")).alias("names"))
-    return own.select("meeting_id", F.inline(patterns.split_blocks(lines))).select("meeting_id", "number", "body")
-
-
-def numbered_blocks_whole(s: SparkSession, d: str) -> DataFrame:
     """The names of every meeting as numbered lines, in whatever script they are, read back; names lose the white space at their ends."""
     lines = F.array_join(F.transform(F.col("names"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x)), "\n")
     own = _speeches(s, d, "meeting_id", "speaker").groupBy("meeting_id").agg(F.sort_array(F.collect_set("speaker")).alias("names"))
@@ -263,18 +250,6 @@ def dedupe_text(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").groupBy(digest.alias("digest")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
 
 
-def session_dates(s: SparkSession, d: str) -> DataFrame:
-    found = dates.japanese_date(F.col("t"))
-    day = F.col("meeting_date")
-    era = F.concat(F.lit("令和"), (F.year(day) - 2018).cast("string"), F.lit("年"), F.month(day).cast("string"), F.lit("月"), F.dayofmonth(day).cast("string"), F.lit("日（会議録）"))
-    return _meetings(s, d, "meeting_date").where("meeting_date >= date '2019-05-01'").select("meeting_id", era.alias("t")).select("meeting_id", found.cast("string").alias("date"))
-
-
-def file_dates(s: SparkSession, d: str) -> DataFrame:
-    name = F.concat(F.lit("R"), F.lpad((F.year("meeting_date") - 2018).cast("string"), 2, "0"), F.date_format("meeting_date", "MMdd"), F.lit("A1"))
-    return _meetings(s, d, "meeting_date").where("meeting_date >= date '2019-05-01'").select("meeting_id", dates.file_date(name).cast("string").alias("date"))
-
-
 def session_months(s: SparkSession, d: str) -> DataFrame:
     month = F.regexp_extract("session", "年([0-9]{1,2})月", 1).try_cast("int")
     m = _meetings(s, d, "meeting_date", "session").select("meeting_id", "meeting_date", month.alias("session_month")).where("session_month is not null and meeting_date is not null")
@@ -282,12 +257,6 @@ def session_months(s: SparkSession, d: str) -> DataFrame:
 
 
 def plain_speakers(s: SparkSession, d: str) -> DataFrame:
-    own = _speeches(s, d, "speaker").where(F.col("speaker").rlike("^[一-龥 　]+$"))
-    plain = F.regexp_replace(text.modern_forms(F.col("speaker")), "[ 　]", "")
-    return own.select("speech_id", plain.alias("speaker"))
-
-
-def plain_speakers_whole(s: SparkSession, d: str) -> DataFrame:
     """The speaker of every speech in today's characters without plain and ideographic spaces; other characters stay."""
     return _speeches(s, d, "speaker").select("speech_id", F.regexp_replace(text.modern_forms(F.col("speaker")), "[ 　]", "").alias("speaker"))
 
@@ -453,14 +422,6 @@ def unwrapped_documents(s: SparkSession, d: str) -> DataFrame:
 
 
 def labels_read(s: SparkSession, d: str) -> DataFrame:
-    """Labels written in every shape from the speeches, and read back."""
-    own = _speeches(s, d, "speaker", "role").where(F.col("speaker").rlike("^[一-龥]{4}$") & F.col("role").rlike("^[一-龥]{2,8}$"))
-    shape = F.pmod("speech_id", F.lit(3))
-    line = F.when(shape == 0, F.concat(F.lit("○"), "role", F.lit("（"), "speaker", F.lit("君）　はい"))).when(shape == 1, F.concat(F.lit("◆"), "speaker", F.lit("議員　はい"))).otherwise(F.concat(F.lit("◎"), "speaker", F.lit("　"), "role", F.lit("　はい")))
-    return labels.with_label(own.select("speech_id", line.alias("line")), "line", "l").select("speech_id", "l.speaker", "l.role", F.regexp_replace("l.rest", "　", "").alias("rest"))
-
-
-def labels_read_whole(s: SparkSession, d: str) -> DataFrame:
     """The first line of every speech behind its label, in every shape, read back; where no shape fits or what fits is no name, speaker is '' and rest the whole line."""
     speaker, role, said = F.coalesce("speaker", F.lit("")), F.coalesce("role", F.lit("")), F.coalesce(F.split("text", "\n")[0], F.lit(""))
     shape = F.pmod("speech_id", F.lit(3))
@@ -475,13 +436,6 @@ def resolved_dates(s: SparkSession, d: str) -> DataFrame:
 
 
 def echoes_removed(s: SparkSession, d: str) -> DataFrame:
-    title = F.concat(F.coalesce("role", F.lit("")), F.lit("（"), "speaker", F.lit("君）"))
-    body = F.concat(F.lit("<pre>◆"), title, F.lit("　"), "text", F.lit("</pre>"))
-    own = _speeches(s, d, "speaker", "role", "text").where(F.col("speaker").rlike("^[一-龥]+$") & F.coalesce(F.col("role"), F.lit("議員")).rlike("^[一-龥]+$") & F.col("text").rlike("^[一-龥「]") & ~F.col("text").rlike("\\s$"))
-    return own.select("speech_id", text.text_digest(labels.without_echo(body, title)).alias("digest"))
-
-
-def echoes_removed_whole(s: SparkSession, d: str) -> DataFrame:
     """The text of every speech behind an echo of its label, without it; white space at its ends goes."""
     title = F.concat(F.coalesce("role", F.lit("")), F.lit("（"), F.coalesce("speaker", F.lit("")), F.lit("君）"))
     body = F.concat(F.lit("<pre>◆"), title, F.lit("　"), F.coalesce("text", F.lit("")), F.lit("</pre>"))
@@ -536,8 +490,8 @@ ALL: tuple[Query, ...] = (
     corpus_stats, latest_speeches, build_meetings, flatten_outer, kind_rollup, record_keys, routed_counts, csv_export, dated_range, wanted_links, resume_anti, audit_missing, audit_by_site, presence_counts,
     prefix_route, listing_lookup, edition_preference, speaker_diff, page_concat, speaker_counts, role_counts, top_roles, grouped_names, pooled_offices, stated_counts, gap_check, order_breaks, reparse_diff,
     line_width_mode, first_per_group, repeated_deliveries, fill_forward, ordered_sample, rotating_sample, ordered_unique, speech_turns, marker_spans, numbered_blocks, limited, councils_latest, set_ops,
-    dedupe_text, session_dates, file_dates, session_months, plain_speakers, name_collisions, swallowed_markers, odd_speakers, office_suffixes, committee_lengths, quality_counts, duplicate_urls, url_shapes,
+    dedupe_text, session_months, plain_speakers, name_collisions, swallowed_markers, odd_speakers, office_suffixes, committee_lengths, quality_counts, duplicate_urls, url_shapes,
     url_hosts, slugs, title_split, fetch_window, throttle, retries, hourly_events, event_sessions, incremental_append, url_walk, list_pages, packed_requests, order_revenue, listed_kinds, sessions_of_titles,
     transcript_sections, rosters, indented_speeches, unwrapped_documents, labels_read, resolved_dates, echoes_removed, catalogue, new_on_second_page, hinted_links, next_openings, notices, exemptions,
-    daily_rollup, ranked_customers, marker_spans_whole, numbered_blocks_whole, plain_speakers_whole, labels_read_whole, echoes_removed_whole,
+    daily_rollup, ranked_customers,
 )

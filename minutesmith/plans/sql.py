@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from minutesmith.functions.text import NEW_FORMS, OLD_FORMS
+
+#: White space of any kind, as a pattern class.
+SPACE = r"[\s\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 ONCE = """sp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY speech_id ORDER BY retrieved_at DESC) AS rn FROM speeches) WHERE rn = 1),
 m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY retrieved_at DESC) AS rn FROM meetings) WHERE rn = 1)"""
 
@@ -67,21 +71,14 @@ SQL: dict[str, str] = {
     "ordered_unique": "SELECT url, CAST(floor(epoch(min(listed_at))) AS BIGINT) AS first_listed, arg_max(title, listed_at) AS title FROM (SELECT url, listed_at, coalesce(title, NULL) AS title FROM listing) WHERE url IS NOT NULL GROUP BY 1",
     "speech_turns": f"""WITH {ONCE}, x AS (SELECT meeting_id, speaker IS DISTINCT FROM lag(speaker) OVER w OR lag(speech_id) OVER w IS NULL AS o FROM sp WINDOW w AS (PARTITION BY meeting_id ORDER BY speech_order, speech_id))
         SELECT meeting_id, count(*) FILTER (o) AS turns FROM x GROUP BY 1""",
-    "marker_spans": f"WITH {ONCE} SELECT speech_id, 0 AS \"order\", speaker, nullif(regexp_replace(coalesce(role, ''), '^[ 　]+|[ 　]+$', '', 'g'), '') AS role, '発言' AS text, 'verbatim' AS kind FROM sp WHERE regexp_full_match(speaker, '[一-龥]{{4}}') AND NOT regexp_matches(coalesce(role, ''), '[（\\n]')",
-    "numbered_blocks": f"""WITH {ONCE}, d AS (SELECT DISTINCT meeting_id, speaker FROM sp WHERE regexp_full_match(speaker, '[一-龥]+'))
-        SELECT meeting_id, CAST(row_number() OVER (PARTITION BY meeting_id ORDER BY speaker) AS INTEGER) AS number, speaker AS body FROM d""",
     "limited": f"WITH {ONCE} SELECT meeting_id FROM m WHERE meeting_date IS NULL OR meeting_date >= DATE '2022-01-01' ORDER BY meeting_id LIMIT 25",
     "councils_latest": f"WITH {ONCE} SELECT council_id, CAST(max(meeting_date) AS VARCHAR) AS last_date, count(*) AS n FROM m GROUP BY 1",
     "set_ops": """WITH a AS (SELECT DISTINCT prefecture FROM meetings), b AS (SELECT DISTINCT prefecture FROM sites)
         SELECT 'both' AS what, (SELECT count(*) FROM (SELECT * FROM a INTERSECT SELECT * FROM b)) AS n UNION ALL SELECT 'first only', (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b))
         UNION ALL SELECT 'second only', (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) UNION ALL SELECT 'either', (SELECT count(*) FROM (SELECT * FROM a UNION SELECT * FROM b))""",
     "dedupe_text": "SELECT sha256(text) AS digest, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1",
-    "session_dates": f"WITH {ONCE} SELECT meeting_id, CAST(meeting_date AS VARCHAR) AS date FROM m WHERE meeting_date >= DATE '2019-05-01'",
-    "file_dates": f"WITH {ONCE} SELECT meeting_id, CAST(meeting_date AS VARCHAR) AS date FROM m WHERE meeting_date >= DATE '2019-05-01'",
     "session_months": f"""WITH {ONCE}, x AS (SELECT meeting_id, meeting_date, TRY_CAST(nullif(regexp_extract(session, '年([0-9]{{1,2}})月', 1), '') AS INTEGER) AS s FROM m)
         SELECT meeting_id, ((month(meeting_date) - s) % 12 + 12) % 12 <= 2 AS "within", CAST(year(meeting_date) + CASE WHEN month(meeting_date) < s THEN 1 ELSE 0 END AS BIGINT) AS year FROM x WHERE s IS NOT NULL AND meeting_date IS NOT NULL""",
-    "plain_speakers": f"""WITH {ONCE} SELECT speech_id, regexp_replace(translate(speaker, '﨑嵜髙澤濱濵邉邊齋齊眞德廣榮藏龍惠圓學國瀧瀨栁淺萬與壽實兒顯讀讓禮曉黑奧臺攝擴爲隨對巖桒曾覺條團氣壯釋藪嶌嶋冨', '崎崎高沢浜浜辺辺斎斉真徳広栄蔵竜恵円学国滝瀬柳浅万与寿実児顕読譲礼暁黒奥台摂拡為随対巌桑曽覚条団気壮釈薮島島富'), '[ 　]', '', 'g') AS speaker
-        FROM sp WHERE regexp_full_match(speaker, '[一-龥 　]+')""",
     "swallowed_markers": f"WITH {ONCE} SELECT speech_id FROM sp WHERE regexp_matches(text, '(^|\\n)[○◯〇◎◆●]')",
     "odd_speakers": f"""WITH {ONCE} SELECT CAST(length(speaker) AS BIGINT) AS characters, count(*) AS n, count(*) FILTER (regexp_matches(speaker, '[0-9０-９]')) AS with_digits, count(*) FILTER (regexp_matches(speaker, '[A-Za-z]')) AS with_letters
         FROM sp WHERE speaker <> '' GROUP BY 1""",
@@ -107,11 +104,8 @@ SQL: dict[str, str] = {
     "list_pages": "SELECT site, unnest(range(2, CAST(ceil(n / 10.0) AS BIGINT) + 1)) AS page FROM (SELECT site, count(*) AS n FROM listing GROUP BY 1)",
     "url_walk": f"""WITH RECURSIVE {ONCE}, c AS (SELECT DISTINCT council_id, meeting_date FROM m WHERE meeting_date IS NOT NULL), l AS (SELECT DISTINCT a.council_id AS x, b.council_id AS y FROM c a JOIN c b USING (meeting_date)),
         w AS (SELECT CAST(1 AS BIGINT) AS u, 0 AS d UNION SELECT y, d + 1 FROM w JOIN l ON x = u WHERE d < 3) SELECT CAST(u AS VARCHAR) AS url, CAST(min(d) AS BIGINT) AS depth FROM w GROUP BY 1""",
-    "labels_read": f"""WITH {ONCE} SELECT speech_id, translate(speaker, '﨑嵜髙澤濱濵邉邊齋齊眞德廣榮藏龍惠圓學國瀧瀨栁淺萬與壽實兒顯讀讓禮曉黑奧臺攝擴爲隨對巖桒曾覺條團氣壯釋藪嶌嶋冨', '崎崎高沢浜浜辺辺斎斉真徳広栄蔵竜恵円学国滝瀬柳浅万与寿実児顕読譲礼暁黒奥台摂拡為随対巌桑曽覚条団気壮釈薮島島富') AS speaker, CASE WHEN speech_id % 3 = 1 THEN NULL ELSE role END AS role, 'はい' AS rest FROM sp
-        WHERE regexp_full_match(speaker, '[一-龥]{{4}}') AND regexp_full_match(role, '[一-龥]{{2,8}}')""",
     "resolved_dates": f"""WITH {ONCE}, l AS (SELECT url, meeting_date AS d FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY listed_at DESC) AS k FROM listing WHERE url IS NOT NULL) WHERE k = 1)
         SELECT CASE WHEN l.d IS NOT NULL THEN 'listing' WHEN m.meeting_date IS NOT NULL THEN 'printed' ELSE 'missing' END AS source, coalesce(l.d <> m.meeting_date, false) AS disagrees, count(*) AS n FROM m LEFT JOIN l ON m.url = l.url GROUP BY 1, 2""",
-    "echoes_removed": f"WITH {ONCE} SELECT speech_id, sha256(text) AS digest FROM sp WHERE regexp_full_match(speaker, '[一-龥]+') AND regexp_full_match(coalesce(role, '議員'), '[一-龥]+') AND regexp_matches(text, '^[一-龥「]') AND NOT regexp_matches(text, '\\s$')",
     "catalogue": "SELECT scraper, count(*) AS sites, count(start_url) AS with_start FROM sites GROUP BY 1",
     "new_on_second_page": "SELECT DISTINCT url FROM listing WHERE url IS NOT NULL AND url NOT IN (SELECT url FROM meetings WHERE url IS NOT NULL)",
     "hinted_links": """SELECT url, arg_max(coalesce(title, ''), listed_at) AS title FROM listing WHERE url IS NOT NULL AND (regexp_matches(coalesce(title, ''), '委員会') OR regexp_matches(url, '委員会'))
@@ -125,4 +119,22 @@ SQL: dict[str, str] = {
         regexp_matches(title, '^[\\s　]*[0-9０-９]{1,2}月[\\s　]*[0-9０-９]{1,2}日.*号[\\s　]*$') AS sitting, count(*) AS n FROM listing WHERE title IS NOT NULL GROUP BY 1, 2""",
     "order_revenue": """SELECT c_mktsegment, year(o_orderdate) AS year, count(*) AS orders, round(sum(r), 2) AS revenue FROM (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS r FROM lineitem GROUP BY 1)
         JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
+    "transcript_sections": r"""WITH l AS (SELECT raw_id, unnest(string_split(body, chr(10))) AS raw, generate_subscripts(string_split(body, chr(10)), 1) AS pos FROM raw_transcripts),
+b AS (SELECT raw_id, pos, regexp_replace(raw, '\s+$', '') AS line FROM l),
+c AS (SELECT *, regexp_matches(line, '^[○◯〇◎●]') AS m, regexp_matches(line, '^[\s　]*[─━―ー\-－=＝_]{3,}[\s　]*$') AND length(regexp_replace(line, '^[ 　\t\x1a]+|[ 　\t\x1a]+$', '', 'g')) < 30 AS r FROM b),
+d AS (SELECT *, max(m::INT) OVER w AS begun FROM c WINDOW w AS (PARTITION BY raw_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+e AS (SELECT *, sum((m OR r)::INT) OVER w AS section FROM d WHERE begun = 1 WINDOW w AS (PARTITION BY raw_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT raw_id, section, pos, m, line, CASE WHEN m OR NOT r THEN regexp_replace(CASE WHEN m THEN regexp_replace(line, '^[○◯〇◎●]([^　（(]+)(?:[　（(]\s*([^）)　]*)[）)]?)?', '') ELSE line END, '^[ 　\t\x1a]+|[ 　\t\x1a]+$', '', 'g') ELSE '' END AS w FROM e),
+g AS (SELECT raw_id, section, bool_or(m) AS m, arg_min(line, pos) AS line, list(w ORDER BY pos) AS ws FROM f GROUP BY 1, 2),
+h AS (SELECT raw_id, section, m, line, list_filter(ws, lambda x: x <> '' AND (m OR NOT regexp_matches(x, '^午[前後][0-9０-９]{1,2}時[0-9０-９]{1,2}分(?:\S{2})?$'))) AS said FROM g),
+i AS (SELECT *, CASE WHEN m THEN CASE WHEN len(said) > 0 THEN 'speech' ELSE 'silent' END WHEN len(said) = 0 THEN 'empty' WHEN regexp_matches(said[1], '^[〔［]|氏名$') THEN 'aside' END AS own FROM h),
+j AS (SELECT *, lag(own) OVER (PARTITION BY raw_id ORDER BY section) AS before FROM i),
+k AS (SELECT *, coalesce(own, CASE WHEN before = 'aside' THEN 'resumed' ELSE 'unattributed' END) AS what, regexp_replace(regexp_extract(line, '^[○◯〇◎●]([^　（(]+)', 1), '^[ 　\t\x1a]+|[ 　\t\x1a]+$', '', 'g') AS speaker FROM j)
+SELECT t.raw_id, count(*) FILTER (what IN ('speech', 'unattributed')) AS speeches, count(*) FILTER (what = 'silent') AS silent, coalesce(sum(CASE WHEN what = 'aside' THEN length(array_to_string(said, '')) END), 0)::BIGINT AS cut,
+count(*) FILTER (what = 'resumed') AS resumed, count(*) FILTER (what = 'unattributed' OR (m AND speaker = '')) AS unattributed, count(*) FILTER (what IN ('empty', 'aside', 'resumed', 'unattributed')) AS rules
+FROM raw_transcripts t LEFT JOIN k USING (raw_id) GROUP BY 1""",
+    "plain_speakers": f"WITH {ONCE} SELECT speech_id, regexp_replace(translate(speaker, '{OLD_FORMS}', '{NEW_FORMS}'), '[ 　]', '', 'g') AS speaker FROM sp",
+    "numbered_blocks": rf"""WITH {ONCE}, n AS (SELECT DISTINCT meeting_id, speaker FROM sp WHERE speaker IS NOT NULL)
+        SELECT meeting_id, CAST(row_number() OVER (PARTITION BY meeting_id ORDER BY speaker) AS INTEGER) AS number, regexp_replace(speaker, '^{SPACE}+|{SPACE}+$', '', 'g') AS body FROM n""",
+    "echoes_removed": rf"""WITH {ONCE} SELECT speech_id, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '</?pre>', '', 'gi'), '^{SPACE}+|{SPACE}+$', '', 'g')) AS digest FROM sp""",
 }

@@ -47,6 +47,23 @@ def write_csv(flat: DataFrame, path: str) -> None:
     csv_rows(flat).write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
 
 
+BOM = "\ufeff"
+
+
+def append_csv(flat: DataFrame, path: str) -> None:
+    """Append to CSV in folders by kind and prefecture, made when their first row comes. Every file of a run has one header, opened by the
+    mark that spreadsheet programs know UTF-8 by."""
+    first = schema.FLAT[0]
+    rows = csv_rows(flat).withColumn("_kind", F.coalesce(F.nullif(F.col("kind"), F.lit("")), F.lit("verbatim"))).withColumn("_folder", slug(F.col("prefecture")))
+    rows.withColumnRenamed(first, BOM + first).write.mode("append").partitionBy("_kind", "_folder").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """What append_csv wrote, from all runs."""
+    names = ", ".join(f"`{c}` string" for c in schema.FLAT)
+    return spark.read.schema(names).option("header", True).option("enforceSchema", True).option("multiLine", True).option("escape", '"').csv(path).select(*schema.FLAT)
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 

@@ -33,7 +33,7 @@ def test_marker_spans(spark, data, speeches):
         spans = [(h, strip(body[h.end() : n])) for h, n in zip(hits, [*(h.start() for h in hits[1:]), len(body)], strict=False)]
         spans = [(h, t) for h, t in spans if t]
         wanted += [(i, k, strip(h[2]), strip(h[1]) or None, t, "verbatim") for k, (h, t) in enumerate(spans)] or [(i, None, None, None, None, None)]
-    assert sorted(map(repr, map(tuple, found(spark, data, "marker_spans_whole")))) == sorted(map(repr, wanted))
+    assert sorted(map(repr, map(tuple, found(spark, data, "marker_spans")))) == sorted(map(repr, wanted))
 
 
 def test_numbered_blocks(spark, data, speeches):
@@ -42,18 +42,18 @@ def test_numbered_blocks(spark, data, speeches):
         if r["speaker"] is not None:
             names.setdefault(r["meeting_id"], set()).add(r["speaker"])
     wanted = {(m, k, strip(n)) for m, own in names.items() for k, n in enumerate(sorted(own, key=lambda n: n.encode()), 1)}
-    rows = [tuple(r) for r in found(spark, data, "numbered_blocks_whole")]
+    rows = [tuple(r) for r in found(spark, data, "numbered_blocks")]
     assert set(rows) == wanted and len(rows) == len(wanted)
 
 
 def test_plain_speakers(spark, data, speeches):
     modern = {ord(a): b for a, b in zip(text.OLD_FORMS, text.NEW_FORMS, strict=True)}
     wanted = {i: None if r["speaker"] is None else re.sub("[ 　]", "", r["speaker"].translate(modern)) for i, r in speeches.items()}
-    assert {r["speech_id"]: r["speaker"] for r in found(spark, data, "plain_speakers_whole")} == wanted
+    assert {r["speech_id"]: r["speaker"] for r in found(spark, data, "plain_speakers")} == wanted
 
 
 def test_labels_are_read(spark, data, speeches):
-    rows = {r["speech_id"]: r for r in found(spark, data, "labels_read_whole")}
+    rows = {r["speech_id"]: r for r in found(spark, data, "labels_read")}
     assert rows.keys() == speeches.keys()
     for i, r in speeches.items():
         name, role, said = r["speaker"] or "", r["role"] or "", (r["text"] or "").split("\n")[0]
@@ -67,7 +67,7 @@ def test_labels_are_read(spark, data, speeches):
 
 
 def test_echoes_are_removed(spark, data, speeches):
-    rows = {r["speech_id"]: r["digest"] for r in found(spark, data, "echoes_removed_whole")}
+    rows = {r["speech_id"]: r["digest"] for r in found(spark, data, "echoes_removed")}
     assert rows == {i: hashlib.sha256(strip(re.sub("(?i)</?pre>", "", r["text"] or "")).encode()).hexdigest() for i, r in speeches.items()}
 
 
