@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,10 +54,10 @@ def preferred_edition(df: DataFrame, group: list[str], edition: str, best: str,
     return df.where(~F.col(edition).eqNullSafe(F.lit(second))).unionByName(kept.select(*df.columns))
 
 
-def name_differences(index: DataFrame, corpus: DataFrame, group: list[str], name: str) -> DataFrame:
-    """Names of an index that do not speak in the corpus, by group. A join of distinct names, not of collected sets."""
-    listed = index.select(*group, normal_speaker(F.col(name)).alias(name)).where(F.col(name) != "").distinct()
-    spoken = corpus.select(*group, normal_speaker(F.col(name)).alias(name)).distinct()
+def name_differences(index: DataFrame, corpus: DataFrame, group: list[str], name: str, normal: Callable[[Column], Column] = normal_speaker) -> DataFrame:
+    """Names of an index that do not speak in the corpus, by group. A join of distinct names, not of collected sets. normal: one spelling of a name."""
+    listed = index.select(*group, normal(F.col(name)).alias(name)).where(F.col(name) != "").distinct()
+    spoken = corpus.select(*group, normal(F.col(name)).alias(name)).distinct()
     return listed.join(spoken, [*group, name], "left_anti")
 
 

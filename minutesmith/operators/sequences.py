@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+CHOICES = 200_000  # strata times options of a rotating sample
+
 
 def first_per_group(df: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each group; NULL keys form one group. An aggregate of minima, so that a hot group combines before the shuffle."""
@@ -47,13 +49,17 @@ def even_sample(df: DataFrame, group: list[str], order: list[str], k: int) -> Da
 def rotating_sample(df: DataFrame, stratum: str, option: str, order: str, rounds: int = 1) -> DataFrame:
     """One row per stratum, in strata order each time from the option used least so far: its middle row.
 
-    The choice depends on all choices before, so it is folded over the strata; only one row per stratum and option takes part."""
+    The choice depends on all choices before, so it is folded over the strata on the driver; only one row per stratum and option takes
+    part, and more than CHOICES of them are an error."""
     w = Window.partitionBy(stratum, option).orderBy(order)
     middle = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count("*").over(Window.partitionBy(stratum, option))).where("_i = cast(floor(_n / 2) as int)").drop("_i", "_n")
     chosen: list[tuple] = []
     used: dict = {}
     options: dict = {}
-    for row in middle.select(stratum, option).where(f"{stratum} is not null and {option} is not null").orderBy(stratum, option).toLocalIterator():
+    rows = middle.select(stratum, option).where(f"{stratum} is not null and {option} is not null").orderBy(stratum, option).limit(CHOICES + 1).collect()
+    if len(rows) > CHOICES:
+        raise ValueError(f"more than {CHOICES} strata and options")
+    for row in rows:
         options.setdefault(row[0], []).append(row[1])
     for s in sorted(options):
         pick = min(options[s], key=lambda o: (used.get(o, 0), o))

@@ -117,9 +117,9 @@ def edition_preference(s: SparkSession, d: str) -> DataFrame:
 
 
 def speaker_diff(s: SparkSession, d: str) -> DataFrame:
-    index = table(s, d, "speaker_index").select("prefecture", F.regexp_replace("speaker", "[ 　]", "").alias("speaker"))
-    spoken = table(s, d, "speeches").select("prefecture", F.regexp_replace("speaker", "[ 　]", "").alias("speaker"))
-    return index.where("speaker <> ''").distinct().join(spoken.distinct(), ["prefecture", "speaker"], "left_anti")
+    """Listed names without a speech, compared without spaces."""
+    index, spoken = (table(s, d, name).select("prefecture", "speaker") for name in ("speaker_index", "speeches"))
+    return audit.name_differences(index, spoken, ["prefecture"], "speaker", lambda name: F.regexp_replace(name, "[ 　]", ""))
 
 
 def page_concat(s: SparkSession, d: str) -> DataFrame:
@@ -166,13 +166,13 @@ def order_breaks(s: SparkSession, d: str) -> DataFrame:
 
 
 def reparse_diff(s: SparkSession, d: str) -> DataFrame:
-    before = _speeches(s, d, "meeting_id", "speaker", "role", "kind").drop("retrieved_at")
+    before = _speeches(s, d, "meeting_id", "speaker", "role", "kind", "text").drop("retrieved_at")
     after = before.withColumn("speaker", F.regexp_replace("speaker", "[ 　]", ""))
-    return audit.rewritten(before, after, "meeting_id", "speech_id", ["speaker", "role", "kind"])
+    return audit.rewritten(before, after, "meeting_id", "speech_id", ["speaker", "role", "kind", "text"])
 
 
 def line_width_mode(s: SparkSession, d: str) -> DataFrame:
-    lines = _speeches(s, d, "meeting_id", "text").select("meeting_id", F.explode(F.split("text", "\n")).alias("line")).select("meeting_id", F.length("line").alias("width")).where("width >= 20")
+    lines = _speeches(s, d, "meeting_id", "text").select("meeting_id", F.explode(F.split("text", "\n")).alias("line")).select("meeting_id", F.length("line").alias("width"))
     counts = lines.groupBy("meeting_id", "width").agg(F.count("*").alias("n"))
     return counts.groupBy("meeting_id").agg(F.max_by("width", F.struct("n", "width")).cast("bigint").alias("width"))
 
@@ -210,10 +210,11 @@ def ordered_unique(s: SparkSession, d: str) -> DataFrame:
 
 
 def speech_turns(s: SparkSession, d: str) -> DataFrame:
-    changed = _speeches(s, d, "meeting_id", "speech_order", "speaker")
+    """The speeches of a meeting as lines, joined while the speaker stays the same."""
     w = Window.partitionBy("meeting_id").orderBy("speech_order", "speech_id")
-    marked = changed.withColumn("opens", ~F.lag("speaker").over(w).eqNullSafe(F.col("speaker")))
-    return marked.groupBy("meeting_id").agg(F.count_if("opens").alias("turns"))
+    lines = _speeches(s, d, "meeting_id", "speech_order", "speaker", "text").withColumn("before", F.lag("speaker").over(w)).withColumn("position", F.struct("speech_order", "speech_id"))
+    turns = sequences.turns_in_lines(lines.withColumn("opens", ~F.col("before").eqNullSafe(F.col("speaker")) | (F.row_number().over(w) == 1)), ["meeting_id"], "position", "text", F.col("opens"))
+    return turns.groupBy("meeting_id").agg(F.count("*").alias("turns"))
 
 
 def marker_spans(s: SparkSession, d: str) -> DataFrame:

@@ -60,7 +60,7 @@ SQL: dict[str, str] = {
     "order_breaks": f"""WITH {ONCE}, x AS (SELECT meeting_id, speech_order, lead(speech_order) OVER (PARTITION BY meeting_id ORDER BY speech_order, speech_id) AS nx FROM sp)
         SELECT meeting_id, count(*) AS breaks FROM x WHERE nx IS NOT NULL AND speech_order + 1 <> nx GROUP BY 1""",
     "reparse_diff": f"WITH {ONCE} SELECT CASE WHEN regexp_replace(speaker, '[ 　]', '', 'g') = speaker OR speaker IS NULL THEN 'same' ELSE 'changed' END AS change, count(*) AS n FROM sp GROUP BY 1",
-    "line_width_mode": f"""WITH {ONCE}, l AS (SELECT meeting_id, length(unnest(string_split(text, chr(10)))) AS w FROM sp), c AS (SELECT meeting_id, w, count(*) AS n FROM l WHERE w >= 20 GROUP BY 1, 2)
+    "line_width_mode": f"""WITH {ONCE}, l AS (SELECT meeting_id, length(unnest(string_split(text, chr(10)))) AS w FROM sp), c AS (SELECT meeting_id, w, count(*) AS n FROM l GROUP BY 1, 2)
         SELECT meeting_id, CAST(w AS BIGINT) AS width FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY n DESC, w DESC) AS k FROM c) WHERE k = 1""",
     "first_per_group": """SELECT council_id, CAST(meeting_date AS VARCHAR) AS date, meeting_id FROM (SELECT *, row_number() OVER (PARTITION BY council_id, meeting_date ORDER BY url IS NULL, coalesce(url, '~'), meeting_id, retrieved_at) AS k FROM meetings) WHERE k = 1""",
     "repeated_deliveries": """SELECT same_text, count(*) AS n FROM (SELECT coalesce(title, '') = coalesce(first_value(title) OVER w, '') AS same_text, row_number() OVER w AS k FROM meetings WINDOW w AS (PARTITION BY meeting_id ORDER BY retrieved_at))

@@ -23,6 +23,10 @@ def rows(columns, values):
     return sorted(tuple(cell(r[i]) for i in order) for r in values)
 
 
+#: Without SQL, and without a row in the smallest tables.
+EMPTY = {"name_collisions"}
+
+
 @pytest.fixture(scope="module")
 def duck(data):
     con = duckdb.connect()
@@ -38,7 +42,7 @@ def test_query(spark, duck, data, name):
     values = found.collect()
     sql = plans.oracle_sql().get(name)
     if sql is None:
-        assert found.columns
+        assert values or name in EMPTY
         return
     wanted = duck.execute(sql)
     columns = [c[0] for c in wanted.description]
