@@ -51,10 +51,10 @@ def test_editions_with_many_printings(spark):
     letters = lambda n: [chr(random.randrange(0x4E00, 0x9000)) for _ in range(n)]
     texts = []
     for _ in range(3):
-        base = letters(3000)
-        for part in (letters(600), letters(600)):
+        base = letters(900)
+        for part in (letters(180), letters(180)):
             for _ in range(10):
-                t = base[:1500] + part + base[1500:]
+                t = base[:450] + part + base[450:]
                 t[random.randrange(len(t))] = "々"
                 texts.append("".join(t))
     texts.append(texts[0])
