@@ -250,6 +250,27 @@ def html_links(page: Column) -> Column:
     return F.pandas_udf(f, "array<struct<href:string,label:string>>")(page)
 
 
+_OPENED = re.compile(r"""(?:open|location(?:\.href)?\s*=)\W*?['"]([^'"]+)['"]""", re.I)
+
+
+def html_targets(page: Column) -> Column:
+    """array<struct<kind, address>> of what a page leads to, in the order of kinds: frame (of a frameset or inline), link, script (the address
+    that a click opens)."""
+
+    def one(v: str) -> list[dict]:
+        root = parse_html(v)
+        found = [("frame", e.attrs["src"]) for e in select(root, "frame[src],iframe[src]")] + [("link", e.attrs["href"]) for e in select(root, "a[href]")]
+        found += [("script", m[1]) for e in select(root, "[onclick]") if (m := _OPENED.search(e.attrs["onclick"]))]
+        return [{"kind": k, "address": a} for k, a in found]
+
+    return F.pandas_udf(lambda s: s.map(lambda v: one(v) if v is not None else None), "array<struct<kind:string,address:string>>")(page)
+
+
+def without_response_header(text: Column, labels: tuple[str, ...] = ("開催日：", "会議名：")) -> Column:
+    """text without the labelled lines that every answer repeats at its beginning, and without the empty lines behind them."""
+    return F.regexp_replace(text, "^" + "".join(f"(?:{label}[^\\n]*(?:\\n|$))?" for label in labels) + r"[\r\n]*", "")
+
+
 def html_fields(page: Column, fields: dict[str, tuple[str, str | None]]) -> Column:
     """struct of one array<string> per field: of all elements of a selector the text, or the named attribute ('' where it is missing)."""
 

@@ -69,3 +69,13 @@ def covered(day: Column, first: Column, last: Column, sent: Column) -> Column:
 def exempt(url: Column, prefixes: Column) -> Column:
     """Whether an address lies under any of an array of prefixes."""
     return F.coalesce(F.exists(prefixes, lambda p: F.startswith(url, p)), F.lit(False))
+
+
+def interval_seconds(own: Column, crawl_delay: Column) -> Column:
+    """Seconds between requests to a host: the longer of one's own interval and what its robots file asks for."""
+    return F.greatest(own.cast("double"), F.coalesce(crawl_delay.cast("double"), F.lit(0.0)))
+
+
+def retry_wait(attempt: Column, retry_after: Column) -> Column:
+    """Seconds before a request is sent again: what the answer asks for, else the backoff; what is no number asks for nothing."""
+    return F.coalesce(retry_after.try_cast("double"), backoff_seconds(attempt))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from minutesmith.functions.text import nfkc, normal_speaker
 
+LENGTHS = 5000  # different lengths of prefixes
+
 
 def unseen(listing: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Rows of a listing whose key is not in seen: NULL keys are unseen."""
@@ -30,15 +32,18 @@ def presence(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys, "full_outer").select(*keys, where.alias("found"))
 
 
-def longest_prefix(df: DataFrame, url: str, routes: DataFrame, prefix: str, route: str, directory: int = 2) -> DataFrame:
+def longest_prefix(df: DataFrame, url: str, routes: DataFrame, prefix: str, route: str) -> DataFrame:
     """df with the route of the longest prefix its address begins with; NULL if none does.
 
-    Prefixes are joined on their host, not compared with every row; longest by aggregation."""
-    host = "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*"
-    keyed = routes.select(F.col(prefix).alias("_p"), F.col(route).alias("_to"), F.regexp_extract(prefix, host, 0).alias("_host"))
-    rows = df.select(url).where(F.col(url).isNotNull()).distinct().withColumn("_host", F.regexp_extract(url, host, 0))
-    hits = rows.join(keyed, "_host").where(F.startswith(F.col(url), F.col("_p")))
-    best = hits.groupBy(url).agg(F.max_by("_to", F.struct(F.length("_p"), "_p")).alias(route))
+    Every address is cut at the lengths that prefixes have (at most LENGTHS of them) and what is cut off is joined to the prefixes: equal strings
+    meet, so no host, however hot, is compared with itself in one task."""
+    keyed = routes.where(F.length(prefix) > 0).groupBy(F.col(prefix).alias("_p")).agg(F.max(route).alias("_to"))
+    lengths = [r[0] for r in keyed.select(F.length("_p").alias("n")).distinct().orderBy("n").limit(LENGTHS + 1).collect()]
+    if len(lengths) > LENGTHS:
+        raise ValueError(f"prefixes of more than {LENGTHS} lengths")
+    rows = df.select(url).where(F.col(url).isNotNull()).distinct()
+    cut = rows.withColumn("_n", F.explode(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(url)))).withColumn("_p", F.col(url).substr(F.lit(1), F.col("_n")))
+    best = cut.join(keyed, "_p").groupBy(url).agg(F.max_by("_to", "_n").alias(route))
     return df.join(best, url, "left")
 
 

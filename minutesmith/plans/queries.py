@@ -362,11 +362,14 @@ def incremental_append(s: SparkSession, d: str) -> DataFrame:
 
 
 def url_walk(s: SparkSession, d: str) -> DataFrame:
-    """Councils reached from the first one over meetings of one day: a graph walk of three steps."""
-    m = _meetings(s, d, "council_id", "meeting_date").where("meeting_date is not null").select("council_id", "meeting_date").distinct()
-    links = m.select(F.col("council_id").cast("string").alias("source"), "meeting_date").join(m.select(F.col("council_id").cast("string").alias("target"), "meeting_date"), "meeting_date").select("source", "target").distinct()
+    """Councils reached from the first one over meetings of one day: a graph walk of three steps, each from a council to a day and on, so
+    that the councils of a day are never paired."""
+    m = _meetings(s, d, "council_id", "meeting_date").where("meeting_date is not null and council_id is not null")
+    both = m.select(F.col("council_id").cast("string").alias("council"), F.concat(F.lit("day "), F.col("meeting_date").cast("string")).alias("day")).distinct()
+    links = both.select(F.col("council").alias("source"), F.col("day").alias("target")).unionByName(both.select(F.col("day").alias("source"), F.col("council").alias("target")))
     start = s.range(1, 2).select(F.col("id").cast("string").alias("url"))
-    return walk.reach(start, links, 3).select("url", F.col("depth").cast("bigint").alias("depth"))
+    found = walk.reach(start, links, 6).where(~F.col("url").startswith("day "))
+    return found.select("url", F.floor(F.col("depth") / 2).cast("bigint").alias("depth"))
 
 
 def list_pages(s: SparkSession, d: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from minutesmith.functions import bytes as raw
-from minutesmith.functions import dates, text
+from minutesmith.functions import dates, policy, text
 from minutesmith.operators import corpus, documents
 from minutesmith.runtime import checkpoint_dir, table
 from minutesmith.sources import files, parsing
@@ -225,9 +225,42 @@ def plain_pages(s: SparkSession, d: str) -> DataFrame:
     return _meetings(s, d, "prefecture").select("meeting_id", raw.without_page_marks(raw.decoded(raw.encoded(said, "cp932"), "cp932")).alias("text"))
 
 
+def page_targets(s: SparkSession, d: str) -> DataFrame:
+    """Pages of every site with its listed addresses as frames, inline frames, links and clicks."""
+    rows = table(s, d, "listing").where("url is not null").select("site", "url").distinct()
+    at, to = F.length("url") % 4, _escaped(F.col("url"))
+    tag = F.when(at == 0, F.concat(F.lit('<frame src="'), to, F.lit('">'))).when(at == 1, F.concat(F.lit('<iframe src="'), to, F.lit('"></iframe>'))).when(at == 2, F.concat(F.lit('<a href="'), to, F.lit('">x</a>'))).otherwise(F.concat(F.lit("<p onClick=\"winopen('"), to, F.lit("')\">x</p>")))
+    pages = rows.groupBy("site").agg(F.array_join(F.array_sort(F.collect_list(tag)), "\n").alias("page"))
+    return pages.select("site", F.inline(raw.html_targets(F.col("page"))))
+
+
+def council_tree(s: SparkSession, d: str) -> DataFrame:
+    """Tree answers of every prefecture with its councils under proceedings or, every third, under materials."""
+    own = _meetings(s, d, "prefecture", "council_id", "meeting_date").where("meeting_date is not null and council_id is not null").select("prefecture", F.year("meeting_date").cast("string").alias("view_year"), F.when(F.col("council_id") % 3 == 0, "資料").otherwise(files.PROCEEDINGS).alias("kind"), "council_id").distinct()
+    kinds = own.groupBy("prefecture", "view_year", "kind").agg(F.collect_list(F.struct("council_id", F.concat(F.lit("第 "), F.col("council_id").cast("string"), F.lit("　回")).alias("name"))).alias("councils"))
+    years = kinds.groupBy("prefecture", "view_year").agg(F.collect_list(F.struct(F.col("kind").alias("council_type_name1"), F.lit("定例会").alias("council_type_name2"), "councils")).alias("council_type"))
+    body = F.to_json(F.struct(F.array(F.struct(F.collect_list(F.struct("view_year", "council_type")).alias("view_years"))).alias("councils")))
+    pages = years.groupBy(F.col("prefecture").alias("key")).agg(F.encode(body, "UTF-8").alias("body"))
+    return files.council_rows(pages).select("key", "view_year", "council_id", "name", "material", F.array_join("names", "/").alias("names"))
+
+
+def stripped_answers(s: SparkSession, d: str) -> DataFrame:
+    """Answers that repeat one or both lines of their header, or none."""
+    day, name = F.concat(F.lit("開催日："), F.col("meeting_date").cast("string"), F.lit("\n")), F.lit("会議名：定例会\n")
+    kind = F.col("meeting_id") % 4
+    body = F.concat(F.when(kind != 1, day).otherwise(""), F.when(kind != 2, name).otherwise(""), F.lit("\r\n"), "prefecture", F.lit("\n会議名：本文"))
+    return _meetings(s, d, "prefecture", "meeting_date").select("meeting_id", raw.without_response_header(body).alias("text"))
+
+
+def waits(s: SparkSession, d: str) -> DataFrame:
+    """Seconds between requests and before a retry, with and without what the host asks for."""
+    e = table(s, d, "events").select("event_id", (F.col("event_id") % 8).alias("attempt"), F.when(F.col("event_id") % 3 == 0, "17").when(F.col("event_id") % 3 == 1, "soon").alias("asked"), F.when(F.col("event_id") % 2 == 0, F.lit(5)).alias("delay"))
+    return e.select("event_id", policy.interval_seconds(F.lit(2), F.col("delay")).alias("interval"), policy.retry_wait(F.col("attempt"), F.col("asked")).alias("wait"))
+
+
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     jsonl_strict, jsonl_lenient, csv_round_trip, csv_appended, sniffed_charsets, decoded_in_order, page_links, page_speeches, page_downloads, rtf_titles, hand_made_sittings, parse_report, cache_keys, cache_puts,
-    session_dates, file_dates, kanji_numbers, listing_years, era_sorted, clean_names, squashed, first_groups, plain_pages,
+    session_dates, file_dates, kanji_numbers, listing_years, era_sorted, clean_names, squashed, first_groups, plain_pages, page_targets, council_tree, stripped_answers, waits,
 )
 
 _ONCE = "m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY retrieved_at DESC) AS rn FROM meetings) WHERE rn = 1), sp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY speech_id ORDER BY retrieved_at DESC) AS rn FROM speeches) WHERE rn = 1)"
@@ -260,4 +293,8 @@ SQL: dict[str, str] = {
     "squashed": "SELECT site, prefecture || 'A1' || scraper AS text FROM sites",
     "first_groups": "SELECT DISTINCT url, regexp_extract(url, 'sitting=([0-9]+)', 1) || ' ' || regexp_extract(url, 'council=[0-9]+') AS part FROM listing WHERE url IS NOT NULL",
     "plain_pages": f"WITH {_ONCE} SELECT meeting_id, coalesce(prefecture, '') || chr(10) || '県' || chr(10) || '議会' AS text FROM m",
+    "page_targets": "SELECT DISTINCT site, CASE length(url) % 4 WHEN 0 THEN 'frame' WHEN 1 THEN 'frame' WHEN 2 THEN 'link' ELSE 'script' END AS kind, url AS address FROM listing WHERE url IS NOT NULL",
+    "council_tree": f"""WITH {_ONCE} SELECT DISTINCT prefecture AS key, CAST(year(meeting_date) AS INTEGER) AS view_year, council_id, '第' || council_id || '回' AS name, council_id % 3 = 0 AS material, CASE WHEN council_id % 3 = 0 THEN '資料' ELSE '全会議' END || '/定例会' AS names FROM m WHERE meeting_date IS NOT NULL AND council_id IS NOT NULL""",
+    "stripped_answers": f"WITH {_ONCE} SELECT meeting_id, CASE WHEN meeting_id % 4 <> 1 AND meeting_date IS NULL THEN NULL ELSE prefecture || chr(10) || '会議名：本文' END AS text FROM m",
+    "waits": "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 5 ELSE 2 END::DOUBLE AS interval, CASE WHEN event_id % 3 = 0 THEN 17 ELSE least(60, pow(2, event_id % 8)) END::DOUBLE AS wait FROM events",
 }

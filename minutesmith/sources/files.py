@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutesmith import schema
-from minutesmith.functions.text import record_key, slug
+from minutesmith.functions.text import record_key, slug, squash
 from minutesmith.operators.corpus import meeting_kind
 
 
@@ -120,6 +120,21 @@ def api_rows(pages: DataFrame, ddl: str, array: str) -> DataFrame:
     return pages.select(F.col("key"), F.posexplode_outer(parsed[array]).alias("position", "item")).select("key", "position", "item.*")
 
 
+PROCEEDINGS = "全会議"  # first level of the tree under which proceedings lie; what lies elsewhere is material
+
+
+def council_rows(pages: DataFrame, years: list[int] | None = None, root: str = PROCEEDINGS) -> DataFrame:
+    """(key, view_year, names, council_id, name, material) of the councils of tree answers, each level unfolded; materials are marked, not
+    dropped, so that they can be counted."""
+    tree = F.from_json(F.decode(F.col("body"), "UTF-8"), f"struct<{COUNCILS.replace(' array', ':array', 1)}>")
+    by_year = pages.select("key", F.explode(F.flatten(F.transform(tree["councils"], lambda b: b["view_years"]))).alias("y")).withColumn("view_year", F.col("y.view_year").try_cast("int"))
+    wanted = by_year if years is None else by_year.where(F.col("view_year").isin(years))
+    kinds = wanted.select("key", "view_year", F.explode("y.council_type").alias("t"))
+    names = F.filter(F.array(*(F.col(f"t.council_type_name{i}") for i in range(1, 6))), lambda n: F.coalesce(n, F.lit("")) != "")
+    rows = kinds.select("key", "view_year", names.alias("names"), F.explode("t.councils").alias("c"))
+    return rows.select("key", "view_year", "names", "c.council_id", squash(F.col("c.name")).alias("name"), (~F.coalesce(F.get("names", F.lit(0)), F.lit("")).eqNullSafe(F.lit(root))).alias("material"))
+
+
 def read_cache(spark: SparkSession, folder: str) -> DataFrame:
     """(key, url, status, body, header_charset, fetched_at) of a folder of cached answers: `<digest>.body` beside `<digest>.json`. An answer counts only
     with both; what is stored of its encoding is not read, for the charset is found from the bytes each time."""

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def append_once(batch: DataFrame, store: str, key: str, compared: list[str], report: str | None = None) -> None:
+def append_once(batch: DataFrame, store: str, key: str, compared: list[str], report: str | None = None, batch_id: int | None = None) -> None:
     """Append the rows of batch whose key the store lacks: the first delivery wins, within a batch by its rows' digests.
 
     What was delivered again goes to `report` as (key, same): whether it equals what is stored; it never replaces it. The durable rule is
-    the anti-join with the store, so no state expires."""
+    the anti-join with the store, so no state expires. With batch_id the report of a batch has its own folder, which a batch that is run again
+    replaces."""
     spark = batch.sparkSession
     rows = batch.withColumn("_digest", F.sha2(F.to_json(F.struct(*compared)), 256))
     others = [c for c in rows.columns if c != key]
@@ -22,7 +23,7 @@ def append_once(batch: DataFrame, store: str, key: str, compared: list[str], rep
         base = new if stored is None else new.select(key, "_digest").unionByName(stored.select(key, "_digest"))
         again = rows.select(key, "_digest").join(base.select(key, F.col("_digest").alias("_old")), key)
         known = again.where("_digest <> _old") if stored is None else again.join(stored.select(key), key, "left_semi")
-        known.select(key, (F.col("_digest") == F.col("_old")).alias("same")).write.mode("append").parquet(report)
+        known.select(key, (F.col("_digest") == F.col("_old")).alias("same")).write.mode("append" if batch_id is None else "overwrite").parquet(report if batch_id is None else f"{report}/batch={batch_id}")
     new.write.mode("append").parquet(store)
 
 
