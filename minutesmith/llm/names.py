@@ -360,7 +360,8 @@ def link(df: DataFrame, entry: str, group: str, name: str, reading: str, office:
     # The one letter in which two given names differ.
     differ = F.expr("filter(transform(sequence(1, length(x.kg)), i -> struct(substring(x.kg, i, 1) as p, substring(y.kg, i, 1) as q)), z -> z.p <> z.q)")
     apart = F.when((F.length("x.kg") > 0) & (F.length("x.kg") == F.length("y.kg")), differ)
-    met = met.withColumn("d", F.when(F.size(apart) == 1, apart[0])).withColumn("p", F.col("d.p")).withColumn("q", F.col("d.q")).drop("d")
+    # Pairs that differ otherwise meet nothing, and each by a key of its own, so that they are not all sent to one task.
+    met = met.withColumn("d", F.when(F.size(apart) == 1, apart[0])).withColumn("p", F.coalesce("d.p", F.concat(F.lit("\0"), F.col("a").cast("string")))).withColumn("q", F.col("d.q")).drop("d")
     told = df.sparkSession.createDataFrame([(p, q) for letters in sounds for p in letters for q in letters if p != q], "p string, q string")
     alike = alike.unionByName(told).distinct()
     met = met.join(alike.withColumn("sound", F.lit(True)), ["p", "q"], "left").withColumn("sound", F.coalesce("sound", F.lit(False)))
