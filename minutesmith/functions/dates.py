@@ -99,3 +99,28 @@ def by_era(label: Column) -> list[Column]:
     year = F.coalesce(part(3).try_cast("int"), era_base(part(1)) + own)
     # Of the two labels of a year in which the era changes, that of the later era comes first.
     return [year.desc_nulls_last(), F.coalesce(era_base(part(1)), year).desc(), label.asc()]
+
+
+#: A date with its weekday behind it, as headings print it. Fixed value.
+HEADING_FORM = r"((?:令和|平成|昭和)(?:元|[0-9]{1,3})年\s*[0-9]{1,2}月\s*[0-9]{1,2}日)\s*（[日月火水木金土]"
+
+
+def dated_heading(text: Column, label: Column, reach: int = 400) -> Column:
+    """struct<date, from_label, differs> of a sitting: the first date with a weekday in the first `reach` characters; else the year of the heading
+    with the month and day of the list's label, and from_label says so. differs: the label names another day than the heading."""
+    head = plain_digits(F.substring(text, 1, reach))
+    printed = japanese_date(F.nullif(F.regexp_extract(head, HEADING_FORM, 1), F.lit("")))
+    own = lambda i: F.regexp_extract(head, rf"({_NAMES})\s*(元|[0-9]{{1,3}})\s*年", i)
+    year = era_base(own(1)) + F.when(own(2) == "元", 1).otherwise(own(2).try_cast("int"))
+    part = lambda i: F.regexp_extract(plain_digits(label), r"([0-9]{1,2})\s*月\s*([0-9]{1,2})\s*日", i).try_cast("int")
+    completed = safe_date(year, part(1), part(2))
+    # Bound once, for the expressions of a date are long.
+    found = F.array(F.struct(printed.alias("printed"), completed.alias("completed"), part(1).alias("m"), part(2).alias("d")))
+    result = F.transform(
+        found,
+        lambda x: F.struct(
+            F.coalesce(x["printed"], x["completed"]).alias("date"), (x["printed"].isNull() & x["completed"].isNotNull()).alias("from_label"),
+            F.coalesce((F.month(x["printed"]) != x["m"]) | (F.dayofmonth(x["printed"]) != x["d"]), F.lit(False)).alias("differs"),
+        ),
+    )
+    return F.element_at(result, 1)

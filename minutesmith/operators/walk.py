@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from minutesmith.runtime import checkpoint_dir
+from minutesmith.runtime import checkpoint_dir, keep
 
 
 def reach(start: DataFrame, links: DataFrame, depth: int) -> DataFrame:
@@ -17,14 +17,14 @@ def reach(start: DataFrame, links: DataFrame, depth: int) -> DataFrame:
     spark = start.sparkSession
     base = f"{checkpoint_dir(spark)}/walk-{uuid.uuid4().hex}"
 
-    def keep(df: DataFrame, level: int) -> DataFrame:
+    def stored(df: DataFrame, level: int) -> DataFrame:
         df.write.parquet(f"{base}/{level}")
         return spark.read.schema("url string, depth int").parquet(f"{base}/{level}")
 
-    seen = level = keep(start.select("url").where("url is not null").distinct().withColumn("depth", F.lit(0)), 0)
+    seen = level = stored(start.select("url").where("url is not null").distinct().withColumn("depth", F.lit(0)), 0)
     for d in range(1, depth + 1):
         next_ = level.select(F.col("url").alias("source")).join(links.select("source", "target"), "source").select(F.col("target").alias("url")).where("url is not null").distinct()
-        level = keep(next_.join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(d)), d)
+        level = stored(next_.join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(d)), d)
         if level.limit(1).count() == 0:
             break
         seen = seen.unionByName(level)
@@ -66,3 +66,31 @@ def pages_differ(first: DataFrame, second: DataFrame, item: str) -> bool:
 def missing_nodes(offered: DataFrame, wanted: DataFrame, node: str) -> DataFrame:
     """Nodes (years, sessions) asked for that a site does not offer."""
     return wanted.select(node).distinct().join(offered.select(node).distinct(), node, "left_anti")
+
+
+def survey(start: DataFrame, links: DataFrame, rules: list[str], focus: str, budget: int, cached: DataFrame) -> DataFrame:
+    """(site, url, depth, place) of the pages a first look at sites fetches, in its order: from start (url), by one link per rule whose label matches
+    it, with the frames of a page at the page's own depth.
+
+    links: source, target, kind (frame or link), label, position. Within a depth come frames, then what focus names, then the order of the
+    pages. A site may ask for `budget` pages that are not in cached (url)."""
+    rows = links.select("source", "target", (F.col("kind") == "frame").alias("frame"), F.coalesce("label", F.lit("")).alias("label"), "position")
+    level = start.select(F.col("url").alias("site"), "url").distinct().withColumn("depth", F.lit(0)).withColumn("rank", F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).cast("bigint").alias("c")))
+    seen = keep(level, "survey")
+    level = seen
+    for depth in range(len(rules) + 1):
+        met = level.join(rows, F.col("url") == F.col("source"))
+        rank = lambda first: F.struct(first.alias("a"), F.when(F.col("label").rlike(focus), 0).otherwise(1).alias("b"), F.col("position").cast("bigint").alias("c"))
+        frames = met.where("frame").groupBy("site", F.col("target").alias("url")).agg(F.min(rank(F.lit(0))).alias("rank")).withColumn("depth", F.lit(depth))
+        fresh = keep(frames.select("site", "url", "depth", "rank").join(seen.select("site", "url"), ["site", "url"], "left_anti"), "survey")
+        seen = seen.unionByName(fresh)
+        if depth == len(rules):
+            break
+        named = level.unionByName(fresh).join(rows, F.col("url") == F.col("source")).where(~F.col("frame") & F.col("label").rlike(rules[depth]))
+        found = named.groupBy("site", F.col("target").alias("url")).agg(F.min(rank(F.lit(1))).alias("rank")).withColumn("depth", F.lit(depth + 1))
+        level = keep(found.select("site", "url", "depth", "rank").join(seen.select("site", "url"), ["site", "url"], "left_anti"), "survey")
+        seen = seen.unionByName(level)
+    order = Window.partitionBy("site").orderBy("depth", "rank", "url")
+    asked = seen.join(cached.select("url").distinct().withColumn("stored", F.lit(True)), "url", "left").withColumn("cost", F.when(F.col("stored"), 0).otherwise(1))
+    spent = asked.withColumn("spent", F.sum("cost").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("place", F.row_number().over(order))
+    return spent.where(F.col("spent") <= budget).select("site", "url", "depth", "place")

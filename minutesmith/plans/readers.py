@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from minutesmith.functions import bytes as raw
 from minutesmith.functions import dates, policy, text
-from minutesmith.operators import corpus, documents
+from minutesmith.operators import corpus, walk
 from minutesmith.runtime import checkpoint_dir, table
 from minutesmith.sources import files, parsing
 
@@ -258,9 +258,29 @@ def waits(s: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", policy.interval_seconds(F.lit(2), F.col("delay")).alias("interval"), policy.retry_wait(F.col("attempt"), F.col("asked")).alias("wait"))
 
 
+def heading_dates(s: SparkSession, d: str) -> DataFrame:
+    """Headings with a date and weekday, with a year only, or with a date beyond reach, beside labels of the day or of the next."""
+    kind, m, day = F.col("meeting_id") % 3, F.month("meeting_date"), F.dayofmonth("meeting_date")
+    full = F.concat(_era(), _era_year().cast("string"), F.lit("年"), m.cast("string"), F.lit("月"), day.cast("string"), F.lit("日（水曜日）"))
+    year = F.concat(_era(), _era_year().cast("string"), F.lit("年定例会"))
+    text_ = F.when(kind == 0, F.concat(F.lit("会議録\n"), full)).when(kind == 1, F.concat(year, F.lit("\n開議"))).otherwise(F.concat(year, F.repeat(F.lit("　"), 400), full))
+    label = F.concat(m.cast("string"), F.lit("月"), F.when(F.col("meeting_id") % 2 == 0, day).otherwise(F.lit(1)).cast("string"), F.lit("日"))
+    return _meetings(s, d, "meeting_date").where("meeting_date is not null").select("meeting_id", dates.dated_heading(text_, label).alias("x")).select("meeting_id", F.col("x.date").cast("string").alias("date"), "x.from_label", "x.differs")
+
+
+def site_survey(s: SparkSession, d: str) -> DataFrame:
+    """A first look at every site: its start page, the frame of it, and its lists by year, at most five pages that are not stored."""
+    listed = table(s, d, "listing").where("url is not null and meeting_date is not null")
+    root = F.concat(F.lit("site:"), "site")
+    years = listed.groupBy(root.alias("source"), F.year("meeting_date").alias("y")).agg(F.count("*").alias("n")).select("source", F.concat("source", F.lit("/"), F.col("y").cast("string")).alias("target"), F.lit("link").alias("kind"), F.concat(F.col("y").cast("string"), F.lit("年")).alias("label"), F.col("y").alias("position"))
+    frames = years.select("source", F.concat("source", F.lit("/menu")).alias("target"), F.lit("frame").alias("kind"), F.lit(None).cast("string").alias("label"), F.lit(0).alias("position")).distinct()
+    start = years.select(F.col("source").alias("url")).distinct()
+    return walk.survey(start, years.unionByName(frames), ["^[0-9]+年$"], "2024", 5, start)
+
+
 ALL: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     jsonl_strict, jsonl_lenient, csv_round_trip, csv_appended, sniffed_charsets, decoded_in_order, page_links, page_speeches, page_downloads, rtf_titles, hand_made_sittings, parse_report, cache_keys, cache_puts,
-    session_dates, file_dates, kanji_numbers, listing_years, era_sorted, clean_names, squashed, first_groups, plain_pages, page_targets, council_tree, stripped_answers, waits,
+    session_dates, file_dates, kanji_numbers, listing_years, era_sorted, clean_names, squashed, first_groups, plain_pages, page_targets, council_tree, stripped_answers, waits, heading_dates, site_survey,
 )
 
 _ONCE = "m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY retrieved_at DESC) AS rn FROM meetings) WHERE rn = 1), sp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY speech_id ORDER BY retrieved_at DESC) AS rn FROM speeches) WHERE rn = 1)"
@@ -297,4 +317,9 @@ SQL: dict[str, str] = {
     "council_tree": f"""WITH {_ONCE} SELECT DISTINCT prefecture AS key, CAST(year(meeting_date) AS INTEGER) AS view_year, council_id, '第' || council_id || '回' AS name, council_id % 3 = 0 AS material, CASE WHEN council_id % 3 = 0 THEN '資料' ELSE '全会議' END || '/定例会' AS names FROM m WHERE meeting_date IS NOT NULL AND council_id IS NOT NULL""",
     "stripped_answers": f"WITH {_ONCE} SELECT meeting_id, CASE WHEN meeting_id % 4 <> 1 AND meeting_date IS NULL THEN NULL ELSE prefecture || chr(10) || '会議名：本文' END AS text FROM m",
     "waits": "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 5 ELSE 2 END::DOUBLE AS interval, CASE WHEN event_id % 3 = 0 THEN 17 ELSE least(60, pow(2, event_id % 8)) END::DOUBLE AS wait FROM events",
+    "heading_dates": f"""WITH {_ONCE} SELECT meeting_id, CAST(CASE WHEN meeting_id % 3 = 0 OR meeting_id % 2 = 0 THEN meeting_date ELSE date_trunc('month', meeting_date) END AS DATE)::VARCHAR AS date, meeting_id % 3 <> 0 AS from_label, meeting_id % 3 = 0 AND meeting_id % 2 = 1 AND day(meeting_date) <> 1 AS differs FROM m WHERE meeting_date IS NOT NULL""",
+    "site_survey": """WITH y AS (SELECT DISTINCT 'site:' || site AS site, year(meeting_date) AS y FROM listing WHERE url IS NOT NULL AND meeting_date IS NOT NULL),
+        p AS (SELECT DISTINCT site, site AS url, 0 AS depth, 0 AS a, 0 AS b, 0 AS c, 0 AS cost FROM y UNION ALL SELECT DISTINCT site, site || '/menu', 0, 0, 1, 0, 1 FROM y UNION ALL SELECT site, site || '/' || y, 1, 1, CASE WHEN y = 2024 THEN 0 ELSE 1 END, y, 1 FROM y),
+        r AS (SELECT *, sum(cost) OVER w AS spent, row_number() OVER w AS place FROM p WINDOW w AS (PARTITION BY site ORDER BY depth, a, b, c, url ROWS UNBOUNDED PRECEDING))
+        SELECT site, url, CAST(depth AS INTEGER) AS depth, CAST(place AS INTEGER) AS place FROM r WHERE spent <= 5""",
 }
