@@ -123,6 +123,14 @@ def test_html():
     assert [e.text() for e in by.select(root, ".y, .x")] == ["two\nthree", "no"]
 
 
+def test_html_of_any_depth(spark):
+    page = "".join(f'<frame src="f{i}">' for i in range(3000)) + "".join(f'<p><b onclick="open(\'c{i}\')">x{i}' for i in range(3000)) + "<i>end</i>"
+    found = one(spark, by.html_targets(F.col("v")), v=page)
+    assert [tuple(r) for r in found] == [("frame", f"f{i}") for i in range(3000)] + [("script", f"c{i}") for i in range(3000)]
+    assert by.parse_html(page).text().split("\n")[-1] == "x2999end"
+    assert by.parse_html('<frameset><frame src="a"><frame src="b"></frameset><p>after</p>').children[1].text() == "after"
+
+
 def test_html_speeches(spark):
     page = '<div id=h><div class=s><span class=w>甲</span><p>言う</p></div><div class=s><span class=w>乙</span><p></p></div><div class=s><p>三</p></div></div>'
     found = one(spark, by.html_speeches(F.col("v"), "#h", ".s", ".w", "", "p"), v=page)
