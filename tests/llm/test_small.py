@@ -147,6 +147,15 @@ def test_trie_walk_is_the_distance():
         assert found == (distance(term, stream) <= k)
 
 
+def test_a_walk_costs_the_same_among_thousands_of_phrases():
+    import time
+
+    trie = abuse.Trie({}, tuple((chr(0x4E00 + i) + "なかまのみな", "abuse", 1.0) for i in range(20_000)))
+    began = time.process_time()
+    found = [trie.walk(trie.terms[i][0].replace("ま", "ら"), 0, {i, i + 1}) for i in range(1000)]
+    assert time.process_time() - began < 1 and found == [{i: (1, 7)} for i in range(1000)]
+
+
 def squares(sizes, capacity):
     """The rule said plainly."""
     levels = []
