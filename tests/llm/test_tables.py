@@ -97,6 +97,18 @@ def test_near_copies_of_nothing(spark):
     assert nearcopies.similar_pairs(docs).collect() == []
 
 
+def test_common_runs_are_counted_in_all_texts(spark):
+    random.seed(6)
+    letters = lambda n: "".join(chr(random.randrange(0x4E00, 0x9000)) for _ in range(n))
+    phrase = letters(14)
+    texts = [letters(50) + (phrase if i < 300 else letters(14)) for i in range(8_200)]
+    weight = nearcopies._weights(nearcopies._common(spark.createDataFrame(list(enumerate(texts)), "doc bigint, text string")))
+    own = weight[nearcopies._counter(nearcopies.runs(phrase, nearcopies.WIDE))]
+    # A counter may be shared by a few runs; there are three of them for each run.
+    assert all(nearcopies.COMMON / 306 < w <= nearcopies.COMMON / 299.99 for w in own) and (weight < 1).sum() == 15
+    assert nearcopies._common(spark.createDataFrame(list(enumerate(texts[:200])), "doc bigint, text string")) is None
+
+
 def test_values_are_mapped(spark):
     reference = spark.createDataFrame([("c", 1, "総務企画委員会"), ("c", 2, "予算特別委員会"), ("c", 3, "県土整備委員会"), ("r", 4, "議長"), ("r", 5, "副議長"), ("r", 6, "医療政策課長")], "f string, id bigint, name string")
     typed = [("c", "総務企画委員会", 1), ("c", "（總務企畫委員會）", 1), ("c", "総務企委", 1), ("c", "予特", 2), ("c", "けんどせいび委員会", 3), ("c", "県土正備委員会【閉会中】", 3), ("c", "Budget Special Committee", 2), ("c", "茶話会", -1), ("c", "", -1), ("c", "?", -1), ("r", "ふくぎちょう", 5), ("r", "議長(再任)", 4), ("r", "団長", -1), ("r", "医療制策科長", 6)]
