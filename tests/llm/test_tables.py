@@ -109,6 +109,19 @@ def test_common_runs_are_counted_in_all_texts(spark):
     assert nearcopies._common(spark.createDataFrame(list(enumerate(texts[:200])), "doc bigint, text string")) is None
 
 
+def test_pairs_of_copies_are_not_moved_again(spark):
+    random.seed(8)
+    text = "".join(chr(random.randrange(0x4E00, 0x9000)) for _ in range(300))
+    rows = [(i, "a", 0, text if i < 40 else text[:200] + "々" + text[201:]) for i in range(60)] + [(i, "b", 1, None) for i in range(5)]
+    parts = spark.createDataFrame(rows, "m bigint, s string, o int, t string")
+    found = nearcopies.similar_pairs(nearcopies.assemble(parts, "m", "s", "o", "t"))
+    assert sorted(map(tuple, found.collect())) == list(itertools.combinations(range(60), 2))
+    assert found._jdf.queryExecution().optimizedPlan().nodeName() != "Aggregate"
+    known = spark.createDataFrame([(1,), (1,), (2,), (50,), (99,), (None,)], "m bigint")
+    docs = nearcopies.assemble(parts, "m", "s", "o", "t", known=known)
+    assert sorted(map(tuple, nearcopies.similar_pairs(docs).collect())) == [(1, 2), (1, 50), (2, 50)]
+
+
 def test_values_are_mapped(spark):
     reference = spark.createDataFrame([("c", 1, "総務企画委員会"), ("c", 2, "予算特別委員会"), ("c", 3, "県土整備委員会"), ("r", 4, "議長"), ("r", 5, "副議長"), ("r", 6, "医療政策課長")], "f string, id bigint, name string")
     typed = [("c", "総務企画委員会", 1), ("c", "（總務企畫委員會）", 1), ("c", "総務企委", 1), ("c", "予特", 2), ("c", "けんどせいび委員会", 3), ("c", "県土正備委員会【閉会中】", 3), ("c", "Budget Special Committee", 2), ("c", "茶話会", -1), ("c", "", -1), ("c", "?", -1), ("r", "ふくぎちょう", 5), ("r", "議長(再任)", 4), ("r", "団長", -1), ("r", "医療制策科長", 6)]
